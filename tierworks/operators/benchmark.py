@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tierworks.plans.sizing import join_per_group
 from tierworks.plans.skew import OrderedGroups
+from tierworks.plans.workspace import settle
 
 
 def median_by(
@@ -15,7 +16,9 @@ def median_by(
 
     Works on the row counts of distinct values in value order, so no group is held in one buffer.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    known = df.filter(F.col(value).isNotNull())
+    # Settled, as it is read several times below.
+    counts = settle(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
     ordered = OrderedGroups(counts, keys, [F.col(value).asc()], rows_per_task)
     upto = ordered.running_sum(ordered.rows, F.col("_n"), "_upto")
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))

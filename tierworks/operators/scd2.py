@@ -7,11 +7,12 @@ new dimension, to be written to a new location (see :mod:`tierworks.operators.la
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tierworks.plans.sizing import measure, same
+from tierworks.plans.sizing import fits_broadcast, measure
 from tierworks.plans.skew import OrderedGroups, large_groups, split_by_keys
 from tierworks.plans.workspace import settle
 
@@ -225,7 +226,7 @@ def join_as_of(
     """Inner join of each fact row with the version of its key that was valid at ``fact_ts``.
 
     The usual key has a few versions: an equi-join on the key with the interval as a residual
-    condition. Keys with very many versions are taken out and matched by order (the last version that
+    condition, against a broadcast dimension where it is measured to fit. Keys with very many versions are taken out and matched by order (the last version that
     began), since comparing every fact of such a key with every version would be quadratic.
     """
     keyed = dim.filter(F.col(dim_key).isNotNull()).withColumnRenamed(dim_key, "_dim_key")
@@ -236,21 +237,18 @@ def join_as_of(
         valid = (F.col("effective_from") <= at) & (
             F.col("effective_to").isNull() | (at < F.col("effective_to"))
         )
-        return facts.join(versions, (F.col(fact_key) == F.col("_dim_key")) & valid, "inner")
+        side = F.broadcast(versions) if fits_broadcast(versions) else versions
+        return facts.join(side, (F.col(fact_key) == F.col("_dim_key")) & valid, "inner")
 
     if not many.rows:
         return by_range(fact, keyed).drop("_dim_key")
     busy_dim, calm_dim = split_by_keys(keyed, ["_dim_key"], many)
-    many_facts = split_by_keys(fact, [fact_key], _renamed_key(many, fact_key))
-    busy_fact, calm_fact = many_facts
+    named_as_fact = replace(many, df=many.df.withColumnRenamed("_dim_key", fact_key))
+    busy_fact, calm_fact = split_by_keys(fact, [fact_key], named_as_fact)
     matched = _by_order(busy_fact, busy_dim, fact_key, fact_ts, rows_per_task)
     return by_range(calm_fact, calm_dim).drop("_dim_key").unionByName(matched)
 
 
-def _renamed_key(many, name: str):
-    return type(many)(many.df.withColumnRenamed("_dim_key", name), many.rows, many.bytes)
-
-
 def _by_order(
     facts: DataFrame, versions: DataFrame, fact_key: str, fact_ts: str, rows_per_task: int | None
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tierworks.sources.listing import arrow_file, parquet_files
 
-FOOTER_TASKS = 200
+FILES_AT_ONCE = 4
 FOOTER_SCHEMA = (
     "path string, row_group int, column string, codec string, encodings string, "
     "values bigint, compressed_bytes bigint"
@@ -84,9 +84,11 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def column_storage(spark: SparkSession, files: DataFrame) -> DataFrame:
     """One row per file, row group and column: codec, encodings, values, compressed bytes.
 
-    ``files`` has the paths in ``path``. The tasks read footers only; column data is not touched.
+    ``files`` has the paths in ``path``. The tasks read footers only; column data is not touched. The
+    paths are spread over a few tasks per core, as a list of paths is too small for Spark to split.
     """
-    return files.select("path").repartition(FOOTER_TASKS).mapInPandas(_footers, FOOTER_SCHEMA)
+    tasks = FILES_AT_ONCE * spark.sparkContext.defaultParallelism
+    return files.select("path").repartition(tasks).mapInPandas(_footers, FOOTER_SCHEMA)
 
 
 def write_variant(df: DataFrame, path: str, variant: str) -> None:

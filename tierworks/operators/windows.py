@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tierworks.functions import MONEY, exact, newest_first, oldest_first, sortable
 from tierworks.plans.sizing import join_per_group
-from tierworks.plans.skew import OrderedGroups
+from tierworks.plans.skew import OrderedGroups, by_group_size
 
 
 def newest_per_key(
@@ -26,25 +26,31 @@ def newest_per_key(
 
 
 def top_per_group(
-    df: DataFrame, part: list[str], measure: str, k: int = 1, *, rank: str = "rnk"
+    df: DataFrame,
+    part: list[str],
+    measure: str,
+    k: int = 1,
+    *,
+    rank: str = "rnk",
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Rows whose ``measure`` is among the ``k`` largest distinct values of their group, ties kept.
 
-    The winning values are found first (one row per group and value) and joined back, since the tied
-    rows of one group may be too many for the task a plain dense rank would send them to.
+    Rank and filter stand together, so only the leading values of each task are shuffled. In a large
+    group even those ties may be too many for one task: there the winning values are found first (one
+    row per group and value) and the rows are matched with them where they are.
     """
-    if k == 1:
-        winners = df.groupBy(*part).agg(F.max(measure).alias(measure))
-        winners = winners.withColumn(rank, F.lit(1).cast("bigint"))
-    else:
-        largest = Window.partitionBy(*part).orderBy(newest_first(measure))
-        winners = (
-            df.select(*part, measure)
-            .distinct()
-            .withColumn(rank, F.row_number().over(largest).cast("bigint"))
-            .filter(F.col(rank) <= k)
-        )
-    return join_per_group(df, winners, [*part, measure])
+    largest = Window.partitionBy(*part).orderBy(newest_first(measure))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(rank, F.dense_rank().over(largest).cast("bigint")).filter(F.col(rank) <= k)
+
+    def matched(rows: DataFrame) -> DataFrame:
+        values = rows.select(*part, measure).distinct()
+        winners = values.withColumn(rank, F.row_number().over(largest).cast("bigint"))
+        return join_per_group(rows, winners.filter(F.col(rank) <= k), [*part, measure])
+
+    return by_group_size(df, part, ranked, matched, rows_per_task)
 
 
 def group_max_and_delta(
@@ -55,18 +61,26 @@ def group_max_and_delta(
     max_name: str = "group_max",
     delta_name: str = "delta_from_avg",
     sum_type: str | None = MONEY,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Add the group's maximum and the distance from its average to each row; no rows collapse."""
-    total = F.sum(exact(df, measure, sum_type)).cast("double")
-    stats = df.groupBy(*part).agg(
-        F.max(measure).alias(max_name),
-        F.try_divide(total, F.count(measure)).alias("_avg"),
-    )
-    return (
-        join_per_group(df, stats, part)
-        .withColumn(delta_name, F.col(measure) - F.col("_avg"))
-        .drop("_avg")
-    )
+    """Add the group's maximum and the distance from its average to each row; no rows collapse.
+
+    Large groups are aggregated and the few results broadcast, so their rows are not shuffled.
+    """
+    amount = exact(df, measure, sum_type)
+    group = Window.partitionBy(*part)
+
+    def in_window(rows: DataFrame) -> DataFrame:
+        average = F.try_divide(F.sum(amount).over(group).cast("double"), F.count(measure).over(group))
+        return rows.withColumns({max_name: F.max(measure).over(group), "_avg": average})
+
+    def joined(rows: DataFrame) -> DataFrame:
+        average = F.try_divide(F.sum(amount).cast("double"), F.count(measure))
+        stats = rows.groupBy(*part).agg(F.max(measure).alias(max_name), average.alias("_avg"))
+        return join_per_group(rows, stats, part)
+
+    both = by_group_size(df, part, in_window, joined, rows_per_task)
+    return both.withColumn(delta_name, F.col(measure) - F.col("_avg")).drop("_avg")
 
 
 def running_total(

@@ -64,12 +64,12 @@ def join_per_group(df: DataFrame, values: DataFrame, keys: list[str], how: str =
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether ``df`` is below both bounds, found by one aggregate over it and nothing kept.
+    """Whether ``df`` is below both bounds. Nothing is kept, so use it for what is cheap to read again.
 
-    Use it for what is cheap to read twice, such as two columns of a stored dimension.
+    The rows are counted first, which for a stored table needs no column; bytes are added up only for
+    a table that passes.
     """
-    size = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
-    ).first()
-    return size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+    if df.count() > BROADCAST_ROWS:
+        return False
+    width = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    return (df.agg(width.alias("bytes")).first()["bytes"] or 0) <= BROADCAST_BYTES

@@ -1,29 +1,42 @@
 """Ordered work (running sums, previous / next row, last seen) over groups of any size.
 
 A plain window puts a whole group into one task. That is fine until one group holds a third of the
-table. :class:`OrderedGroups` counts the groups first (a partial aggregate over the key columns only)
-and leaves all groups below ``rows_per_task`` to the plain window. A larger group is range-partitioned
-by its own order into cells of about ``rows_per_task`` rows; the window runs per cell, and what a cell
-needs from the cells before it (a sum, a neighbouring row) is a table with one row per cell.
-
-The result is the same as that of the plain window. The order given must be total within a group: add
-a unique column as its last member.
+table. :class:`OrderedGroups` looks for groups above ``rows_per_task`` first and leaves all others to the
+plain window. A larger group is range-partitioned by its own order into cells of about
+``rows_per_task`` rows; the window runs per cell, and what a cell needs from the cells before it (a sum,
+a neighbouring row) is a table with one row per cell.
+
+Which groups are large is read off a sample of the key columns. That decides only how the work is laid
+out: every row goes through one of the two ways, and both give the result of the plain window. The order
+given must be total within a group: add a unique column as its last member.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tierworks.plans.sizing import Measured, measure, same
 from tierworks.plans.workspace import settle
 
 ROWS_PER_TASK = 5_000_000
+# Rows of a group at the limit that the sample is expected to hold: the estimate is good to some 5%.
+SAMPLED_AT_LIMIT = 500
 CELL = "_cell"
 
 
 def large_groups(df: DataFrame, keys: list[str], rows: int) -> Measured:
-    """Groups with more than ``rows`` rows, with their row count in ``_group_rows``."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_group_rows"))
+    """Groups of more than about ``rows`` rows, with their estimated row count in ``_group_rows``.
+
+    The sampling rate depends on ``rows`` alone, so the sample shuffles a tiny part of a huge table,
+    and a table smaller than the limit yields next to nothing. There are at most
+    total / ``rows`` such groups, which bounds the size of the result.
+    """
+    rate = min(1.0, SAMPLED_AT_LIMIT / rows)
+    columns = df.select(*keys) if keys else df.select(F.lit(1))
+    seen = columns.sample(rate, seed=17) if rate < 1.0 else columns
+    counts = seen.groupBy(*keys).agg((F.count(F.lit(1)) / rate).cast("bigint").alias("_group_rows"))
     return measure(counts.filter(F.col("_group_rows") > rows))
 
 
@@ -36,6 +49,21 @@ def split_by_keys(df: DataFrame, keys: list[str], chosen: Measured) -> tuple[Dat
     return df.join(side, on, "left_semi"), df.join(side, on, "left_anti")
 
 
+def by_group_size(
+    df: DataFrame,
+    keys: list[str],
+    calm: Callable[[DataFrame], DataFrame],
+    busy: Callable[[DataFrame], DataFrame],
+    rows_per_task: int | None = None,
+) -> DataFrame:
+    """``calm`` (one group per task will do) over the usual groups and ``busy`` over the large ones."""
+    large = large_groups(df, keys, rows_per_task or ROWS_PER_TASK)
+    if not large.rows:
+        return calm(df)
+    hot, rest = split_by_keys(df, keys, large)
+    return calm(rest).unionByName(busy(hot))
+
+
 class OrderedGroups:
     """``df`` prepared for ordered work; read the prepared rows from ``rows``."""
 
