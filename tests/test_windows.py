@@ -38,6 +38,9 @@ def test_large_groups_are_found(skewed):
     assert [r["part"] for r in large_groups(skewed, ["part"], 200).df.collect()] == ["hot"]
     assert large_groups(skewed, ["part"], 100_000).rows == 0
     assert large_groups(skewed, [], 100).rows == 1
+    ordered = OrderedGroups(skewed, ["part"], ["id"], 40)
+    cells = ordered.rows.groupBy("part", "_cell").count()
+    assert cells.filter("part = 'hot'").count() > 4 and cells.agg(F.max("count")).first()[0] < 160
 
 
 @pytest.mark.parametrize("rows", SPLIT)
@@ -69,7 +72,7 @@ def test_neighbours_and_last_seen_after_a_filter(skewed, rows):
         .withColumn("next", F.lead(value).over(window))
         .withColumn("seen", F.last(F.when(F.col("x") > 60, F.col("x")), ignorenulls=True).over(window))
     )
-    ordered = OrderedGroups(skewed, ["part"], [F.col("id").asc()], rows)
+    ordered = OrderedGroups(skewed, ["part"], ["id"], rows)
     got = ordered.neighbour(ordered.rows.filter(kept), value, "next", following=True)
     got = ordered.last_seen(got, F.when(F.col("x") > 60, F.col("x")), "seen")
     assert rows_of(got, *want.columns) == rows_of(want)

@@ -85,7 +85,8 @@ def with_rank_and_share(
         total = F.sum(amount).over(Window.partitionBy())
     else:
         counts = kept.df.groupBy(measure_col).agg(F.count(F.lit(1)).alias("_n"))
-        ordered = OrderedGroups(counts, [], [newest_first(measure_col)], limit)
+        counts = counts.withColumn("_down", -F.col(measure_col))
+        ordered = OrderedGroups(counts, [], ["_down"], limit)
         upto = ordered.running_sum(ordered.rows, F.col("_n"), "_upto")
         ranks = upto.select(measure_col, (F.col("_upto") - F.col("_n") + 1).cast("bigint").alias(rank))
         ranked = join_per_group(kept.df, ranks, [measure_col])

@@ -19,7 +19,7 @@ def median_by(
     known = df.filter(F.col(value).isNotNull())
     # Settled, as it is read several times below.
     counts = settle(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
-    ordered = OrderedGroups(counts, keys, [F.col(value).asc()], rows_per_task)
+    ordered = OrderedGroups(counts, keys, [value], rows_per_task)
     upto = ordered.running_sum(ordered.rows, F.col("_n"), "_upto")
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     placed = join_per_group(upto, totals, keys)

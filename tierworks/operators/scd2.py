@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tierworks.plans.sizing import fits_broadcast, measure
 from tierworks.plans.skew import OrderedGroups, large_groups, split_by_keys
-from tierworks.plans.workspace import settle
 
 VALIDITY = ("effective_from", "effective_to", "is_current")
 SNAPSHOT_NAMES = {"effective_from": "dbt_valid_from", "effective_to": "dbt_valid_to"}
@@ -138,7 +137,8 @@ def scd2_apply(
             [F.col(k) == F.col(n) for k, n in zip(key, new_key)],
             "left_semi",
         ).select(*key)
-        fresh = batch.df.join(known, key, "left_anti").select(
+        # At most one current row per key of the batch, so no larger than the batch itself.
+        fresh = batch.df.join(F.broadcast(known), key, "left_anti").select(
             *attributes, at.alias("effective_from"), never.alias("effective_to"), F.lit(True).alias("is_current")
         )
         result = result.unionByName(fresh.select(*dim.columns))
@@ -177,7 +177,7 @@ def scd2_rebuild(
     rows of a key at the same time fail the job.
     """
     usable = split_null_keys(log, key)[0]
-    ordered = OrderedGroups(usable, key, [F.col(batch_ts).asc()], rows_per_task)
+    ordered = OrderedGroups(usable, key, [batch_ts], rows_per_task)
     seen = ordered.neighbour(ordered.rows, F.struct(batch_ts, *tracked), "_previous")
     twice = F.raise_error(F.concat_ws("|", F.lit("two rows of one key in a batch"), *key))
     moved = _any([~F.col(c).eqNullSafe(F.col(f"_previous.{c}")) for c in tracked])
@@ -189,8 +189,6 @@ def scd2_rebuild(
         )
         .drop("_previous")
     )
-    if ordered.split:
-        changes = settle(changes)
     versions = ordered.neighbour(changes, F.struct(batch_ts), "_next", following=True)
     return ordered.done(
         versions.withColumn("effective_to", F.col(f"_next.{batch_ts}"))
@@ -270,8 +268,8 @@ def _by_order(
         F.lit(None).cast(started.schema["_version"].dataType).alias("_version"),
     )
     # The digest only spreads facts of one instant over cells; versions still come before facts.
-    order = [F.col("_at").asc(), F.col("_turn").asc(), F.xxhash64("_fact").asc()]
-    ordered = OrderedGroups(started.unionByName(asked), ["_k"], order, rows_per_task)
+    line = started.unionByName(asked).withColumn("_spread", F.xxhash64("_fact"))
+    ordered = OrderedGroups(line, ["_k"], ["_at", "_turn", "_spread"], rows_per_task)
     seen = ordered.last_seen(ordered.rows, F.col("_version"), "_valid")
     ends = F.col("_valid.effective_to")
     hits = seen.filter(

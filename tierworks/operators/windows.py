@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tierworks.functions import MONEY, exact, newest_first, oldest_first, sortable
+from tierworks.functions import MONEY, exact, newest_first, sortable
 from tierworks.plans.sizing import join_per_group
 from tierworks.plans.skew import OrderedGroups, by_group_size
 
@@ -97,7 +97,7 @@ def running_total(
 
     ``order`` must be unique within a group; see :class:`OrderedGroups` for large groups.
     """
-    ordered = OrderedGroups(df, part, [oldest_first(c) for c in order], rows_per_task)
+    ordered = OrderedGroups(df, part, order, rows_per_task)
     summed = ordered.running_sum(ordered.rows, exact(df, measure, sum_type), name)
     kind = df.schema[measure].dataType.simpleString()
     floating = kind in ("double", "float")
@@ -114,7 +114,7 @@ def period_change(
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """``measure`` minus that of the previous row of the group; NULL for the first row."""
-    ordered = OrderedGroups(df, part, [oldest_first(c) for c in order], rows_per_task)
+    ordered = OrderedGroups(df, part, order, rows_per_task)
     value = F.struct(F.col(measure).alias("v"))
     seen = ordered.neighbour(ordered.rows, value, "_previous")
     changed = seen.withColumn(name, F.col(measure) - F.col("_previous.v")).drop("_previous")

@@ -1,31 +1,47 @@
 """Ordered work (running sums, previous / next row, last seen) over groups of any size.
 
 A plain window puts a whole group into one task. That is fine until one group holds a third of the
-table. :class:`OrderedGroups` looks for groups above ``rows_per_task`` first and leaves all others to the
-plain window. A larger group is range-partitioned by its own order into cells of about
-``rows_per_task`` rows; the window runs per cell, and what a cell needs from the cells before it (a sum,
-a neighbouring row) is a table with one row per cell.
-
-Which groups are large is read off a sample of the key columns. That decides only how the work is laid
-out: every row goes through one of the two ways, and both give the result of the plain window. The order
-given must be total within a group: add a unique column as its last member.
+table. :class:`OrderedGroups` looks for groups above ``rows_per_task`` and cuts each of them along its own
+order into cells of about that many rows. The window then runs per group and cell, with the one shuffle
+it needs anyway, and what a cell needs from the cells before it (a sum, a neighbouring row) comes from a
+small table with one row per cell.
+
+Which groups are large, and where their cells begin, is read off a sample of the key and order columns.
+That decides only how the work is laid out: every row is in one cell, and the result is that of the plain
+window whatever the sample holds. The order must be total within a group: give a unique column last.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tierworks.functions import oldest_first
 from tierworks.plans.sizing import Measured, measure, same
 from tierworks.plans.workspace import settle
 
 ROWS_PER_TASK = 5_000_000
-# Rows of a group at the limit that the sample is expected to hold: the estimate is good to some 5%.
+# Rows of a group at the limit that a sample is expected to hold: the estimate is good to some 5%.
 SAMPLED_AT_LIMIT = 500
+# Sampled rows per cell from which the bounds of cells are chosen.
+SAMPLED_PER_CELL = 20
 CELL = "_cell"
 
 
+def _sampled(df: DataFrame, expected: float, rows: int) -> tuple[DataFrame, float]:
+    """(a sample with ``expected`` out of every ``rows`` rows, its rate); small numbers keep all."""
+    rate = min(1.0, expected / rows)
+    return (df.sample(rate, seed=17) if rate < 1.0 else df), rate
+
+
+def _large(points: DataFrame, keys: list[str], rows: int, rate: float) -> Measured:
+    estimate = (F.count(F.lit(1)) / rate).cast("bigint")
+    counts = points.groupBy(*keys).agg(estimate.alias("_group_rows"))
+    return measure(counts.filter(F.col("_group_rows") > rows))
+
+
 def large_groups(df: DataFrame, keys: list[str], rows: int) -> Measured:
     """Groups of more than about ``rows`` rows, with their estimated row count in ``_group_rows``.
 
@@ -33,11 +49,8 @@ def large_groups(df: DataFrame, keys: list[str], rows: int) -> Measured:
     and a table smaller than the limit yields next to nothing. There are at most
     total / ``rows`` such groups, which bounds the size of the result.
     """
-    rate = min(1.0, SAMPLED_AT_LIMIT / rows)
-    columns = df.select(*keys) if keys else df.select(F.lit(1))
-    seen = columns.sample(rate, seed=17) if rate < 1.0 else columns
-    counts = seen.groupBy(*keys).agg((F.count(F.lit(1)) / rate).cast("bigint").alias("_group_rows"))
-    return measure(counts.filter(F.col("_group_rows") > rows))
+    points, rate = _sampled(df.select(*keys), SAMPLED_AT_LIMIT, rows)
+    return _large(points, keys, rows, rate)
 
 
 def split_by_keys(df: DataFrame, keys: list[str], chosen: Measured) -> tuple[DataFrame, DataFrame]:
@@ -64,99 +77,137 @@ def by_group_size(
     return calm(rest).unionByName(busy(hot))
 
 
+def _point(order: list[str]) -> Column:
+    """The order columns as one value that compares like the order itself: ascending, NULLs last."""
+    pairs = [(F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")) for i, c in enumerate(order)]
+    return F.struct(*[part for pair in pairs for part in pair])
+
+
+def _bounds_up_to(point: Column, bounds: Column, most: int) -> Column:
+    """How many of the sorted ``bounds`` (``most`` at the most) are not above ``point``: bisection."""
+
+    def halve(at: Column, _: Column) -> Column:
+        low, high = at["low"], at["high"]
+        middle = F.shiftright(low + high, 1)
+        above = F.get(bounds, middle) > point
+        return F.struct(
+            F.when((low >= high) | above, low).otherwise(middle + 1).alias("low"),
+            F.when((low < high) & above, middle).otherwise(high).alias("high"),
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(math.ceil(math.log2(most + 1)) + 1))
+    return F.aggregate(steps, start, halve, lambda at: at["low"])
+
+
 class OrderedGroups:
-    """``df`` prepared for ordered work; read the prepared rows from ``rows``."""
+    """``df`` prepared for ordered work; the prepared rows are in ``rows``.
+
+    ``order`` names the columns to go by, ascending with NULLs last. An empty ``keys`` makes the whole
+    table one group.
+    """
 
     def __init__(
-        self,
-        df: DataFrame,
-        keys: list[str],
-        order: list[Column],
-        rows_per_task: int | None = None,
+        self, df: DataFrame, keys: list[str], order: list[str], rows_per_task: int | None = None
     ):
-        self.keys = list(keys)
-        self.order = list(order)
+        self.keys, self.order = list(keys), list(order)
+        self.split, self.rows = False, df
         limit = rows_per_task or ROWS_PER_TASK
-        large = large_groups(df, self.keys, limit)
-        self.split = large.rows > 0
-        if not self.split:
-            self.rows = df
+        points, rate = _sampled(df.select(*dict.fromkeys([*keys, *order])), SAMPLED_AT_LIMIT, limit)
+        points = settle(points)
+        large = _large(points, self.keys, limit, rate)
+        if not large.rows:
             return
-        total = large.df.agg(F.sum("_group_rows")).first()[0]
-        cells = total // limit + large.rows + 1
-        hot, rest = (
-            split_by_keys(df, self.keys, large) if self.keys else (df, df.limit(0))
-        )
-        ranged = hot.repartitionByRange(int(cells), *self.keys, *self.order)
-        # Settled, since the cell number must not change between the plans that use it.
-        hot = settle(ranged.withColumn(CELL, F.spark_partition_id() + 1))
-        self.rows = rest.withColumn(CELL, F.lit(0)).unionByName(hot)
+        bounds = self._bounds(points, rate, large, limit)
+        most = bounds.df.agg(F.max(F.size("_bounds"))).first()[0] or 0
+        if most:
+            self.split = True
+            self.rows = self._in_cells(df, bounds, most)
+
+    def _bounds(self, points: DataFrame, rate: float, large: Measured, limit: int) -> Measured:
+        """One row per large group: the sorted points at which its second and later cells begin."""
+        fewer, _ = _sampled(points, SAMPLED_PER_CELL / rate, limit)
+        hot = split_by_keys(fewer, self.keys, large)[0] if self.keys else fewer
+        nth = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*self._sort()))
+        chosen = hot.withColumn("_nth", nth).filter(F.col("_nth") % SAMPLED_PER_CELL == 0)
+        sorted_points = F.array_sort(F.collect_list(_point(self.order)))
+        return measure(chosen.groupBy(*self.keys).agg(sorted_points.alias("_bounds")))
+
+    def _in_cells(self, df: DataFrame, bounds: Measured, most: int) -> DataFrame:
+        names = [f"_of_{i}" for i in range(len(self.keys))]
+        side = bounds.df.withColumnsRenamed(dict(zip(self.keys, names)))
+        if self.keys:
+            on = same(self.keys, names)
+        else:
+            # One row of bounds for all: a key that is always 0 makes it a hash join like the others.
+            side, names = side.withColumn("_of", F.lit(0)), ["_of"]
+            on = F.pmod(F.xxhash64(*self.order), F.lit(1)) == F.col("_of")
+        side = F.broadcast(side) if bounds.small else side
+        cell = _bounds_up_to(_point(self.order), F.col("_bounds"), most) + 1
+        numbered = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(cell)
+        return df.join(side, on, "left").withColumn(CELL, numbered).drop("_bounds", *names)
+
+    def _sort(self) -> list[Column]:
+        return [oldest_first(c) for c in self.order]
 
     @property
     def cell_keys(self) -> list[str]:
         return [*self.keys, CELL] if self.split else self.keys
 
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.cell_keys).orderBy(*self.order)
+        return Window.partitionBy(*self.cell_keys).orderBy(*self._sort())
 
-    def _cells_in_order(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(CELL)
+    def _upto(self) -> WindowSpec:
+        return self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def _per_cell(self, df: DataFrame, value: Column) -> DataFrame:
+        """``_value`` per cell of the large groups; partial aggregation keeps it off the shuffle."""
+        return df.filter(F.col(CELL) > 0).groupBy(*self.cell_keys).agg(value.alias("_value"))
 
-    def _attach(self, df: DataFrame, per_cell: DataFrame) -> DataFrame:
+    def _attach(self, df: DataFrame, per_cell: DataFrame, carry: Column) -> DataFrame:
+        """Join ``_carry``, computed over the cells of a group in order, to the rows of each cell."""
         names = [f"_at_{i}" for i in range(len(self.cell_keys))]
-        side = measure(per_cell.withColumnsRenamed(dict(zip(self.cell_keys, names)))).for_join()
+        carried = per_cell.select(*self.cell_keys, carry.alias("_carry"))
+        side = measure(carried.withColumnsRenamed(dict(zip(self.cell_keys, names)))).for_join()
         return df.join(side, same(self.cell_keys, names), "left").drop(*names)
 
+    def _cells(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys).orderBy(CELL)
+
+    def _earlier_cells(self) -> WindowSpec:
+        return self._cells().rowsBetween(Window.unboundedPreceding, -1)
+
     def done(self, df: DataFrame) -> DataFrame:
         """Drop the helper column."""
         return df.drop(CELL)
 
     def running_sum(self, df: DataFrame, value: Column, name: str) -> DataFrame:
         """Sum of ``value`` from the first row of the group up to this one."""
-        upto = self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.withColumn(name, F.sum(value).over(upto))
+        out = df.withColumn(name, F.sum(value).over(self._upto()))
         if not self.split:
             return out
-        before = self._cells_in_order().rowsBetween(Window.unboundedPreceding, -1)
-        sums = (
-            df.filter(F.col(CELL) > 0)
-            .groupBy(*self.cell_keys)
-            .agg(F.sum(value).alias("_sum"))
-            .select(*self.cell_keys, F.sum("_sum").over(before).alias("_before"))
-        )
-        both = F.coalesce(F.col(name) + F.col("_before"), F.col(name), F.col("_before"))
-        return self._attach(out, sums).withColumn(name, both).drop("_before")
+        sums = self._per_cell(df, F.sum(value))
+        out = self._attach(out, sums, F.sum("_value").over(self._earlier_cells()))
+        both = F.coalesce(F.col(name) + F.col("_carry"), F.col(name), F.col("_carry"))
+        return out.withColumn(name, both).drop("_carry")
 
     def neighbour(self, df: DataFrame, value: Column, name: str, following: bool = False) -> DataFrame:
-        """``value`` of the previous (or following) row of the group, NULL at the end of the group."""
-        step, back = (F.lead, F.lag) if following else (F.lag, F.lead)
-        window = self.window()
-        out = df.withColumn(name, step(value).over(window))
+        """``value`` (a struct) of the previous or following row of the group; NULL where there is none."""
+        step, nearest = (F.lead, F.min_by) if following else (F.lag, F.max_by)
+        out = df.withColumn(name, step(value).over(self.window()))
         if not self.split:
             return out
-        out = out.withColumn("_outer", step(F.lit(1)).over(window).isNull())
-        edges = (
-            df.withColumn("_edge", back(F.lit(1)).over(window).isNull())
-            .filter(F.col("_edge") & (F.col(CELL) > 0))
-            .select(*self.cell_keys, value.alias("_value"))
-            .withColumn("_carry", step("_value").over(self._cells_in_order()))
-            .drop("_value")
-        )
-        fixed = F.when(F.col("_outer"), F.col("_carry")).otherwise(F.col(name))
-        return self._attach(out, edges).withColumn(name, fixed).drop("_outer", "_carry")
+        edges = self._per_cell(df, nearest(value, _point(self.order)))
+        out = self._attach(out, edges, step("_value").over(self._cells()))
+        # Only the row at the edge of its cell found no neighbour in it.
+        return out.withColumn(name, F.coalesce(name, "_carry")).drop("_carry")
 
     def last_seen(self, df: DataFrame, value: Column, name: str) -> DataFrame:
         """The latest non-NULL ``value`` of the group up to and including this row."""
-        window = self.window()
-        upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.withColumn(name, F.last(value, ignorenulls=True).over(upto))
+        out = df.withColumn(name, F.last(value, ignorenulls=True).over(self._upto()))
         if not self.split:
             return out
-        before = self._cells_in_order().rowsBetween(Window.unboundedPreceding, -1)
-        edges = (
-            out.withColumn("_edge", F.lead(F.lit(1)).over(window).isNull())
-            .filter(F.col("_edge") & (F.col(CELL) > 0))
-            .select(*self.cell_keys, F.last(name, ignorenulls=True).over(before).alias("_carry"))
-        )
-        fixed = F.coalesce(F.col(name), F.col("_carry"))
-        return self._attach(out, edges).withColumn(name, fixed).drop("_carry")
+        latest = F.max_by(value, F.when(value.isNotNull(), _point(self.order)))
+        carry = F.last("_value", ignorenulls=True).over(self._earlier_cells())
+        out = self._attach(out, self._per_cell(df, latest), carry)
+        return out.withColumn(name, F.coalesce(name, "_carry")).drop("_carry")

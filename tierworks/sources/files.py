@@ -12,6 +12,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tierworks.plans.workspace import settle
 from tierworks.sources.listing import arrow_file, arrow_readable, entries, exists
 
 log = logging.getLogger(__name__)
@@ -80,7 +81,7 @@ def csv_headers(spark: SparkSession, files: list[str]) -> DataFrame:
     # Stores that pyarrow cannot open: let Spark read the first block of each file as lines.
     lines = spark.read.text(files).select(
         "value",
-        F.col("_metadata.file_path").alias("path"),
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("nth"),
     )
@@ -88,6 +89,11 @@ def csv_headers(spark: SparkSession, files: list[str]) -> DataFrame:
     return first.select("path", F.split(F.regexp_replace("line", '"', ""), ",").alias("header"))
 
 
+def _plain(path: str) -> str:
+    """One spelling of a local path, which Spark writes as file:/ or file:///."""
+    return "file:/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+
+
 def _unique(names: list[str]) -> list[str]:
     return [n if names.count(n) == 1 else f"{n}{i}" for i, n in enumerate(names)]
 
@@ -97,19 +103,31 @@ def read_csv_files(spark: SparkSession, files: list[str]) -> DataFrame:
 
     Spark binds CSV columns by position, which would mix up files whose header order differs. Files
     are therefore grouped by header, each group is read with its own schema, and the groups are joined
-    by name; a column that a file lacks is NULL for its rows.
+    by name; a column that a file lacks is NULL for its rows. The headers are compared on the cluster:
+    only the distinct ones come back, and file names only for those that deviate from the usual one.
     """
     if len(files) == 1:
         return spark.read.option("header", True).csv(files)
-    headers = csv_headers(spark, files).collect()
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in headers:
-        if row["header"]:
-            groups.setdefault(tuple(row["header"]), []).append(row["path"])
-    parts = []
-    for header, members in sorted(groups.items()):
+    headers = settle(csv_headers(spark, files).filter(F.size("header") > 0))
+    counts = headers.groupBy("header").count().orderBy(F.desc("count"), "header").collect()
+    if not counts:
+        return spark.read.option("header", True).csv(files)
+    usual = counts[0]["header"]
+    groups = {tuple(row["header"]): [] for row in counts}
+    if len(counts) > 1:
+        deviating = headers.filter(F.col("header") != F.lit(usual)).collect()
+        for row in deviating:
+            groups[tuple(row["header"])].append(_plain(row["path"]))
+        others = {path for members in groups.values() for path in members}
+        groups[tuple(usual)] = [f for f in files if _plain(f) not in others]
+    else:
+        groups[tuple(usual)] = files
+
+    def read(header: tuple[str, ...], members: list[str]) -> DataFrame:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in _unique(list(header))])
-        parts.append(spark.read.schema(schema).option("header", True).csv(sorted(members)))
+        return spark.read.schema(schema).option("header", True).csv(sorted(members))
+
+    parts = [read(header, members) for header, members in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
