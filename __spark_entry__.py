@@ -27,6 +27,7 @@ from tierworks.operators.scd2 import (
     scd2_snapshot,
 )
 from tierworks.operators.storage import (
+    batch_history,
     best_variant,
     column_storage,
     file_inventory,
@@ -448,6 +449,14 @@ def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.substring_index("file_path", "/", -1).alias("file"), "records")
 
 
+def history_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored as one batch per year."""
+    out = scratch_path(spark, "batches")
+    orders = table(spark, sf_dir, "orders").withColumn("_batch_id", F.date_format("o_orderdate", "'y'yyyy"))
+    orders.coalesce(1).write.partitionBy("_batch_id").parquet(out)
+    return batch_history(spark, out, "_batch_id").drop("first_written", "last_written")
+
+
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch write into a stream's folder leaves files the stream never committed."""
     out = scratch_path(spark, "stream-out")
@@ -557,6 +566,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compacted_rows": compacted_rows,
         "repartitioned_rows": repartitioned_rows,
         "file_inventory": stored_records,
+        "batch_history": history_of_batches,
         "orphan_files": orphans,
         "column_storage": column_values,
         "layout_experiment": lambda s, d: best_variant(_layouts(s, d)),
@@ -799,6 +809,8 @@ FROM events""",
         "compacted_rows": _ORDERS,
         "repartitioned_rows": _ORDERS,
         "file_inventory": _INVENTORY,
+        "batch_history": """
+SELECT strftime(o_orderdate, 'y%Y') AS _batch_id, count(*) AS rows, 1 AS files FROM orders GROUP BY 1""",
         "column_storage": _COLUMN_VALUES,
         "benchmark_summary": """
 WITH runs AS (

@@ -1,19 +1,18 @@
-import pytest
 from pyspark.sql import functions as F
 
 from tierworks import jobs
 from tierworks.operators.landing import land_bronze, read_latest
 
 
-@pytest.mark.parametrize("days", [30])
-def test_seed_to_gold(spark, tmp_path, days):
+def test_seed_to_gold(spark, tmp_path):
     raw, bronze, silver, gold = (str(tmp_path / n) for n in ("raw", "bronze", "silver", "gold"))
     jobs.seed(spark, raw, rows=40, days=0, number=1)
-    jobs.silver(spark, raw, silver, F.lit("2024-01-01").cast("timestamp"))
+    land_bronze(spark, raw, bronze)
+    jobs.silver(spark, bronze, silver, F.lit("2024-01-01").cast("timestamp"))
     jobs.seed(spark, raw, rows=40, days=0, number=2)
     landed = land_bronze(spark, raw, bronze)
     assert landed.count() == 12 and landed.filter("rows <> 80").count() == 0
-    jobs.silver(spark, raw, silver, F.lit("2024-02-01").cast("timestamp"))
+    jobs.silver(spark, bronze, silver, F.lit("2024-02-01").cast("timestamp"))
 
     dim = read_latest(spark, f"{silver}/dim_customer")
     snapshot = read_latest(spark, f"{silver}/dim_customer_scd2")

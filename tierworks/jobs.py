@@ -2,7 +2,7 @@
 
     spark-submit -m tierworks.jobs seed   --raw data/raw --rows 200 --days 30
     spark-submit -m tierworks.jobs bronze --raw data/raw --bronze lake/bronze
-    spark-submit -m tierworks.jobs silver --raw data/raw --silver lake/silver
+    spark-submit -m tierworks.jobs silver --bronze lake/bronze --silver lake/silver
     spark-submit -m tierworks.jobs gold   --bronze lake/bronze --silver lake/silver --gold lake/gold
     spark-submit -m tierworks.jobs stream --bronze lake/bronze --brokers kafka:9092 --checkpoint lake/log
 
@@ -25,8 +25,8 @@ from tierworks.operators.conform import conform
 from tierworks.operators.landing import full_refresh, land_batch, land_bronze, publish, read_latest
 from tierworks.operators.scd2 import scd2_apply, scd2_snapshot
 from tierworks.operators.windows import newest_per_key
+from tierworks.plans.workspace import settle
 from tierworks.session import session
-from tierworks.sources.files import read_csv_source
 from tierworks.sources.synthetic import SHAPES, synth_source
 from tierworks.streaming.events import parse_events, stream_append, stream_source
 
@@ -58,14 +58,15 @@ def newest_customers(raw_customers: DataFrame) -> tuple[DataFrame, DataFrame]:
     return newest.select(*CUSTOMER), rejected
 
 
-def silver(spark: SparkSession, raw: str, silver_root: str, as_of: Column | None = None) -> None:
+def silver(spark: SparkSession, bronze_root: str, silver_root: str, as_of: Column | None = None) -> None:
     """Version the customers twice (plain and snapshot names) and conform employees and invoices.
 
     Rejected rows are kept below ``_rejected``.
     """
     as_of = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of
-    incoming, rejected = newest_customers(read_csv_source(spark, f"{raw}/crm_customers"))
+    incoming, rejected = newest_customers(spark.read.parquet(f"{bronze_root}/crm_customers"))
     full_refresh(rejected, f"{silver_root}/_rejected/crm_customers")
+    incoming = settle(incoming)
 
     plain, snapshot = f"{silver_root}/dim_customer", f"{silver_root}/dim_customer_scd2"
     before = read_latest(spark, plain)
@@ -81,7 +82,7 @@ def silver(spark: SparkSession, raw: str, silver_root: str, as_of: Column | None
         ),
     }
     for name, (types, columns) in facts.items():
-        good, bad = conform(read_csv_source(spark, f"{raw}/{name}"), types)
+        good, bad = conform(spark.read.parquet(f"{bronze_root}/{name}"), types)
         full_refresh(good.select(*columns), f"{silver_root}/{name}")
         full_refresh(bad, f"{silver_root}/_rejected/{name}")
 
@@ -122,7 +123,7 @@ def main() -> None:
     elif args.job == "bronze":
         land_bronze(spark, args.raw, args.bronze).show(100, False)
     elif args.job == "silver":
-        silver(spark, args.raw, args.silver)
+        silver(spark, args.bronze, args.silver)
     elif args.job == "gold":
         gold(spark, args.bronze, args.silver, args.gold).show(100, False)
     else:

@@ -23,6 +23,7 @@ from tierworks.operators.scd2 import (
     split_null_keys,
 )
 from tierworks.operators.storage import (
+    batch_history,
     best_variant,
     bytes_per_column,
     column_storage,

@@ -43,6 +43,33 @@ def file_inventory(spark: SparkSession, path: str, small_bytes: int = 32 * 1024
     )
 
 
+def batch_history(spark: SparkSession, path: str, batch_col: str) -> DataFrame:
+    """One row per batch of a stored table in order of arrival: rows, files, and when they were written.
+
+    ``batch_col`` is the column (or folder level) that names the batch of a row.
+    """
+    per_file = (
+        spark.read.parquet(path)
+        .select(
+            batch_col,
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_modification_time").alias("written"),
+        )
+        .groupBy(batch_col, "file_path")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("written").alias("written"))
+    )
+    return (
+        per_file.groupBy(batch_col)
+        .agg(
+            F.sum("n").alias("rows"),
+            F.count(F.lit(1)).alias("files"),
+            F.min("written").alias("first_written"),
+            F.max("written").alias("last_written"),
+        )
+        .orderBy("first_written", batch_col)
+    )
+
+
 def orphan_files(spark: SparkSession, path: str, older_than_days: int, now: datetime | Column) -> DataFrame:
     """Data files in a stream sink's folder that no commit names and that are older than N days.
 

@@ -13,7 +13,6 @@ window whatever the sample holds. The order must be total within a group: give a
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
@@ -27,7 +26,7 @@ ROWS_PER_TASK = 5_000_000
 SAMPLED_AT_LIMIT = 500
 # Sampled rows per cell from which the bounds of cells are chosen.
 SAMPLED_PER_CELL = 20
-CELL = "_cell"
+CELL, LARGE = "_cell", "_large"
 
 
 def _sampled(df: DataFrame, expected: float, rows: int) -> tuple[DataFrame, float]:
@@ -84,20 +83,18 @@ def _point(order: list[str]) -> Column:
 
 
 def _bounds_up_to(point: Column, bounds: Column, most: int) -> Column:
-    """How many of the sorted ``bounds`` (``most`` at the most) are not above ``point``: bisection."""
+    """How many of the sorted ``bounds`` (``most`` at the most) are not above ``point``.
 
-    def halve(at: Column, _: Column) -> Column:
-        low, high = at["low"], at["high"]
-        middle = F.shiftright(low + high, 1)
-        above = F.get(bounds, middle) > point
-        return F.struct(
-            F.when((low >= high) | above, low).otherwise(middle + 1).alias("low"),
-            F.when((low < high) & above, middle).otherwise(high).alias("high"),
-        )
+    Bisection by falling powers of two: a step is taken when the bound it would reach is not above the
+    point. Steps past the end meet NULL and are not taken.
+    """
+    powers = F.array(*[F.lit(1 << n) for n in reversed(range(most.bit_length()))])
+
+    def advance(at: Column, step: Column) -> Column:
+        reached = at + step
+        return F.when(F.get(bounds, reached - 1) <= point, reached).otherwise(at)
 
-    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
-    steps = F.sequence(F.lit(1), F.lit(math.ceil(math.log2(most + 1)) + 1))
-    return F.aggregate(steps, start, halve, lambda at: at["low"])
+    return F.aggregate(powers, F.lit(0), advance)
 
 
 class OrderedGroups:
@@ -143,9 +140,10 @@ class OrderedGroups:
             side, names = side.withColumn("_of", F.lit(0)), ["_of"]
             on = F.pmod(F.xxhash64(*self.order), F.lit(1)) == F.col("_of")
         side = F.broadcast(side) if bounds.small else side
-        cell = _bounds_up_to(_point(self.order), F.col("_bounds"), most) + 1
-        numbered = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(cell)
-        return df.join(side, on, "left").withColumn(CELL, numbered).drop("_bounds", *names)
+        large = F.col("_bounds").isNotNull()
+        cell = F.when(large, _bounds_up_to(_point(self.order), F.col("_bounds"), most)).otherwise(F.lit(0))
+        joined = df.join(side, on, "left").withColumns({CELL: cell, LARGE: large})
+        return joined.drop("_bounds", *names)
 
     def _sort(self) -> list[Column]:
         return [oldest_first(c) for c in self.order]
@@ -162,7 +160,7 @@ class OrderedGroups:
 
     def _per_cell(self, df: DataFrame, value: Column) -> DataFrame:
         """``_value`` per cell of the large groups; partial aggregation keeps it off the shuffle."""
-        return df.filter(F.col(CELL) > 0).groupBy(*self.cell_keys).agg(value.alias("_value"))
+        return df.filter(F.col(LARGE)).groupBy(*self.cell_keys).agg(value.alias("_value"))
 
     def _attach(self, df: DataFrame, per_cell: DataFrame, carry: Column) -> DataFrame:
         """Join ``_carry``, computed over the cells of a group in order, to the rows of each cell."""
@@ -178,8 +176,8 @@ class OrderedGroups:
         return self._cells().rowsBetween(Window.unboundedPreceding, -1)
 
     def done(self, df: DataFrame) -> DataFrame:
-        """Drop the helper column."""
-        return df.drop(CELL)
+        """Drop the helper columns."""
+        return df.drop(CELL, LARGE)
 
     def running_sum(self, df: DataFrame, value: Column, name: str) -> DataFrame:
         """Sum of ``value`` from the first row of the group up to this one."""
