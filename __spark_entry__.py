@@ -511,7 +511,7 @@ def runs_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = benchmark_summary(runs_from_orders(spark, sf_dir), rows_per_task=20_000)
+    summary = benchmark_summary(runs_from_orders(spark, sf_dir))
     doubles = ["wall_ms", "work_ms", "rows_per_sec", "cpu_ms", "cpu_per_wall", "rss_mb"]
     return summary.withColumns({c: F.round(c, 5) for c in doubles})
 
@@ -810,7 +810,7 @@ FROM events""",
         "repartitioned_rows": _ORDERS,
         "file_inventory": _INVENTORY,
         "batch_history": """
-SELECT strftime(o_orderdate, 'y%Y') AS _batch_id, count(*) AS rows, 1 AS files FROM orders GROUP BY 1""",
+SELECT strftime(o_orderdate, 'y%Y') AS _batch_id, count(*) AS rows, CAST(1 AS BIGINT) AS files FROM orders GROUP BY 1""",
         "column_storage": _COLUMN_VALUES,
         "benchmark_summary": """
 WITH runs AS (

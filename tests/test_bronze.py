@@ -54,7 +54,7 @@ def test_headers_through_spark_alone(spark, tmp_path, monkeypatch):
 
     path = write(tmp_path / "crm", part1_csv='"id",name\n1,a\n2,b\n', part2_csv="name,id\nc,3\n")
     monkeypatch.setattr(files, "arrow_readable", lambda uri: False)
-    found = files.source_at(spark, path).csv_files
+    found = files.source_at(spark, path)
     assert sorted(r["header"] for r in csv_headers(spark, found).collect()) == [["id", "name"], ["name", "id"]]
     assert rows_of(read_csv_source(spark, path)) == [("1", "a"), ("2", "b"), ("3", "c")]
 

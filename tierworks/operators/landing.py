@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tierworks.operators.contract import with_contract
 from tierworks.sources.catalog import ensure_namespace, is_path
 from tierworks.sources.files import Source, discover_sources, read_source
-from tierworks.sources.listing import entries, exists
+from tierworks.sources.listing import entries, exists, parquet_files
 from tierworks.sources.runs import RUN_SCHEMA
 
 PARALLEL_SOURCES = 4
@@ -153,8 +153,9 @@ def timed_landing(
     for source in discover_sources(spark, root, only):
         place = _target(target, source.name)
         result = _land(spark, source, place, False)
-        written = entries(spark, place) if is_path(place) and not source.empty else []
-        size = sum(e.size for e in written if not e.is_dir)
+        size = 0
+        if is_path(place) and not source.empty:
+            size = parquet_files(spark, place).agg(F.sum("length")).first()[0] or 0
         per_source.append(
             (result["source"], result["read_ms"], result["write_ms"], 0.0, result["rows"], size)
         )

@@ -9,9 +9,9 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tierworks.sources.files import FILES_AT_ONCE
 from tierworks.sources.listing import arrow_file, parquet_files
 
-FILES_AT_ONCE = 4
 FOOTER_SCHEMA = (
     "path string, row_group int, column string, codec string, encodings string, "
     "values bigint, compressed_bytes bigint"

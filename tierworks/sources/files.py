@@ -6,7 +6,7 @@ import csv
 import io
 import logging
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
@@ -17,36 +17,46 @@ from tierworks.sources.listing import arrow_file, arrow_readable, entries, exist
 
 log = logging.getLogger(__name__)
 
-CSV_ENDINGS = (".csv", ".csv.gz")
-JSON_ENDINGS = (".jsonl", ".json", ".jsonl.gz", ".json.gz")
-HEADER_TASKS = 200
+# Which reader takes a file is decided by its ending (fixed values).
+GLOBS = {"csv": "*.{csv,csv.gz}", "json": "*.{json,jsonl,json.gz,jsonl.gz}"}
+ENDINGS = {"csv": r"\.csv(\.gz)?$", "json": r"\.jsonl?(\.gz)?$"}
+FILES_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
 class Source:
-    """One raw folder: its part files by format."""
+    """One raw folder, with the number of its part files per format."""
 
     name: str
     path: str
-    csv_files: list[str] = field(default_factory=list)
-    json_files: list[str] = field(default_factory=list)
+    csv_files: int = 0
+    json_files: int = 0
 
     @property
     def empty(self) -> bool:
         return not (self.csv_files or self.json_files)
 
 
+def _listing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Non-empty files of folders. Spark lists them; no file is opened and no name comes to Python."""
+    return spark.read.format("binaryFile").load(paths).filter("length > 0").select("path")
+
+
+def _with_counts(spark: SparkSession, folders: dict[str, str]) -> list[Source]:
+    if not folders:
+        return []
+    kinds = [F.count_if(F.col("path").rlike(ENDINGS[k])).alias(k) for k in ("csv", "json")]
+    parent = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
+    counts = _listing(spark, list(folders.values())).groupBy(parent.alias("name")).agg(*kinds)
+    found = {row["name"]: (row["csv"], row["json"]) for row in counts.collect()}
+    return [Source(name, path, *found.get(name, (0, 0))) for name, path in sorted(folders.items())]
+
+
 def source_at(spark: SparkSession, path: str) -> Source:
     """The part files of one folder. The format is chosen per file, by its ending."""
     if not exists(spark, path):
         raise FileNotFoundError(f"no such source folder: {path}")
-    files = [e for e in entries(spark, path) if not e.is_dir and e.size > 0]
-    return Source(
-        name=path.rstrip("/").rsplit("/", 1)[-1],
-        path=path,
-        csv_files=[e.path for e in files if e.name.endswith(CSV_ENDINGS)],
-        json_files=[e.path for e in files if e.name.endswith(JSON_ENDINGS)],
-    )
+    return _with_counts(spark, {path.rstrip("/").rsplit("/", 1)[-1]: path})[0]
 
 
 def discover_sources(spark: SparkSession, root: str, only: list[str] | None = None) -> list[Source]:
@@ -57,8 +67,7 @@ def discover_sources(spark: SparkSession, root: str, only: list[str] | None = No
     for name in only or []:
         if name not in folders:
             log.warning("skipping %s: no such folder below %s", name, root)
-    names = folders if only is None else [n for n in only if n in folders]
-    return [source_at(spark, folders[n]) for n in sorted(names)]
+    return _with_counts(spark, {n: p for n, p in folders.items() if only is None or n in only})
 
 
 def _first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,14 +81,15 @@ def _first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "header": headers})
 
 
-def csv_headers(spark: SparkSession, files: list[str]) -> DataFrame:
-    """``path``, ``header`` (array of names) per file; only the start of each file is read."""
+def csv_headers(spark: SparkSession, source: Source) -> DataFrame:
+    """``path``, ``header`` (array of names) per CSV file; only the start of each file is read."""
     schema = "path string, header array<string>"
-    if all(arrow_readable(f) for f in files):
-        paths = spark.createDataFrame([(f,) for f in files], "path string")
-        return paths.repartition(min(len(files), HEADER_TASKS)).mapInPandas(_first_records, schema)
+    if arrow_readable(source.path):
+        names = _listing(spark, [source.path]).filter(F.col("path").rlike(ENDINGS["csv"]))
+        tasks = min(source.csv_files, FILES_AT_ONCE * spark.sparkContext.defaultParallelism)
+        return names.repartition(tasks).mapInPandas(_first_records, schema)
     # Stores that pyarrow cannot open: let Spark read the first block of each file as lines.
-    lines = spark.read.text(files).select(
+    lines = spark.read.option("pathGlobFilter", GLOBS["csv"]).text(source.path).select(
         "value",
         F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -89,64 +99,60 @@ def csv_headers(spark: SparkSession, files: list[str]) -> DataFrame:
     return first.select("path", F.split(F.regexp_replace("line", '"', ""), ",").alias("header"))
 
 
-def _plain(path: str) -> str:
-    """One spelling of a local path, which Spark writes as file:/ or file:///."""
-    return "file:/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
-
-
 def _unique(names: list[str]) -> list[str]:
     return [n if names.count(n) == 1 else f"{n}{i}" for i, n in enumerate(names)]
 
 
-def read_csv_files(spark: SparkSession, files: list[str]) -> DataFrame:
+def read_csv_files(spark: SparkSession, source: Source) -> DataFrame:
     """Header CSV files with every column STRING, matched by column name across files.
 
-    Spark binds CSV columns by position, which would mix up files whose header order differs. Files
-    are therefore grouped by header, each group is read with its own schema, and the groups are joined
-    by name; a column that a file lacks is NULL for its rows. The headers are compared on the cluster:
-    only the distinct ones come back, and file names only for those that deviate from the usual one.
+    Spark binds CSV columns by position, which would mix up files whose header order differs. The
+    headers are therefore compared first, on the cluster. Where all agree, the folder is read as it is.
+    Otherwise files are grouped by header, each group is read with its own schema, and the groups are
+    joined by name; a column that a file lacks is NULL for its rows.
     """
-    if len(files) == 1:
-        return spark.read.option("header", True).csv(files)
-    headers = settle(csv_headers(spark, files).filter(F.size("header") > 0))
-    counts = headers.groupBy("header").count().orderBy(F.desc("count"), "header").collect()
-    if not counts:
-        return spark.read.option("header", True).csv(files)
-    usual = counts[0]["header"]
-    groups = {tuple(row["header"]): [] for row in counts}
-    if len(counts) > 1:
-        deviating = headers.filter(F.col("header") != F.lit(usual)).collect()
-        for row in deviating:
-            groups[tuple(row["header"])].append(_plain(row["path"]))
-        others = {path for members in groups.values() for path in members}
-        groups[tuple(usual)] = [f for f in files if _plain(f) not in others]
-    else:
-        groups[tuple(usual)] = files
-
-    def read(header: tuple[str, ...], members: list[str]) -> DataFrame:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in _unique(list(header))])
-        return spark.read.schema(schema).option("header", True).csv(sorted(members))
-
-    parts = [read(header, members) for header, members in groups.items()]
+    reader = spark.read.option("header", True)
+    whole = reader.option("pathGlobFilter", GLOBS["csv"])
+    if source.csv_files == 1:
+        return whole.csv(source.path)
+    headers = settle(csv_headers(spark, source).filter(F.size("header") > 0))
+    known = [tuple(row["header"]) for row in headers.select("header").distinct().collect()]
+    if not known:
+        return whole.csv(source.path)
+
+    def schema(header: tuple[str, ...]) -> T.StructType:
+        return T.StructType([T.StructField(c, T.StringType()) for c in _unique(list(header))])
+
+    if len(known) == 1:
+        return whole.schema(schema(known[0])).csv(source.path)
+    # The reader takes the files of a group by name.
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in headers.collect():
+        groups.setdefault(tuple(row["header"]), []).append(row["path"])
+    parts = [
+        spark.read.option("header", True).schema(schema(header)).csv(sorted(paths))
+        for header, paths in sorted(groups.items())
+    ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_json_files(
     spark: SparkSession,
-    files: list[str],
+    source: Source,
     schema: T.StructType | str | None = None,
     as_strings: bool = False,
 ) -> DataFrame:
     """JSON-lines files; a given ``schema`` saves the pass over the data that inference needs."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.option("primitivesAsString", as_strings).json(files)
+    reader = reader.option("pathGlobFilter", GLOBS["json"])
+    return reader.option("primitivesAsString", as_strings).json(source.path)
 
 
 def read_csv_source(spark: SparkSession, path: str) -> DataFrame:
     source = source_at(spark, path)
     if not source.csv_files:
         raise FileNotFoundError(f"no CSV files in {path}")
-    return read_csv_files(spark, source.csv_files)
+    return read_csv_files(spark, source)
 
 
 def read_json_source(
@@ -158,7 +164,7 @@ def read_json_source(
     source = source_at(spark, path)
     if not source.json_files:
         raise FileNotFoundError(f"no JSON files in {path}")
-    return read_json_files(spark, source.json_files, schema, as_strings)
+    return read_json_files(spark, source, schema, as_strings)
 
 
 def read_source(spark: SparkSession, source: Source, as_strings: bool = False) -> DataFrame:
@@ -166,7 +172,7 @@ def read_source(spark: SparkSession, source: Source, as_strings: bool = False) -
     mixed = bool(source.csv_files and source.json_files)
     parts = []
     if source.csv_files:
-        parts.append(read_csv_files(spark, source.csv_files))
+        parts.append(read_csv_files(spark, source))
     if source.json_files:
-        parts.append(read_json_files(spark, source.json_files, as_strings=as_strings or mixed))
+        parts.append(read_json_files(spark, source, as_strings=as_strings or mixed))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
