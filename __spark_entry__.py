@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierworks.operators.aggregates import batch_audit, revenue_by, rows_by, with_rank_and_share
-from tierworks.operators.benchmark import benchmark_summary
+from tierworks.operators.benchmark import benchmark_summary, medians_by
 from tierworks.operators.conform import conform, stringify
 from tierworks.operators.contract import CONTRACT, contract_check, contract_projection, with_contract
 from tierworks.operators.landing import land_batch, land_bronze
@@ -510,6 +510,12 @@ def runs_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_medians_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of a few groups that share all rows."""
+    orders = table(spark, sf_dir, "orders")
+    return medians_by(orders, ["o_orderstatus"], ["o_totalprice", "o_custkey"], rows_per_task=1_500)
+
+
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = benchmark_summary(runs_from_orders(spark, sf_dir))
     doubles = ["wall_ms", "work_ms", "rows_per_sec", "cpu_ms", "cpu_per_wall", "rss_mb"]
@@ -572,6 +578,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layout_experiment": lambda s, d: best_variant(_layouts(s, d)),
         "layout_totals": lambda s, d: layout_totals(_layouts(s, d)),
         "benchmark_summary": run_summary,
+        "medians_hot_groups": run_medians_hot_groups,
         "synth_source": synth_foreign_keys,
     }
 
@@ -834,5 +841,8 @@ SELECT impl, round(wall_ms, 5) AS wall_ms, round(work_ms, 5) AS work_ms,
        round(CASE WHEN wall_ms > 0 THEN cpu_ms / wall_ms ELSE 0 END, 5) AS cpu_per_wall,
        round(rss_mb, 5) AS rss_mb, rows, kept_runs, total_runs
 FROM mid""",
+        "medians_hot_groups": """
+SELECT o_orderstatus, median(o_totalprice) AS o_totalprice, median(o_custkey) AS o_custkey
+FROM orders GROUP BY o_orderstatus""",
         "synth_source": _SYNTH,
     }

@@ -110,7 +110,8 @@ def test_every_row_group_is_reported(spark, tmp_path):
     assert report.count() > 1 and report.agg(F.sum("values")).first()[0] == 50_000
 
 
-def test_benchmark_summary(spark):
+@pytest.mark.parametrize("rows_per_task", [None, 1])
+def test_benchmark_summary(spark, rows_per_task):
     def run(impl, excl, incl, rows, resources):
         return (impl, "r", "t", [], (excl, incl, rows, 0), [], "", resources)
 
@@ -121,7 +122,7 @@ def test_benchmark_summary(spark):
         ("java-1", run("java", 0.0, 0.0, 7, None)),
     ]
     df = spark.createDataFrame([(*r, f) for f, r in records], f"{RUN_SCHEMA}, file_name STRING")
-    assert [tuple(r) for r in benchmark_summary(df).collect()] == [
+    assert [tuple(r) for r in benchmark_summary(df, rows_per_task).collect()] == [
         ("java", 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 7, 1, 1),
         ("go", 220.0, 200.0, 100.0, 65.0, 65.0 / 220.0, 20.0, 20, 2, 3),
     ]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tierworks.operators.aggregates import batch_audit, revenue_by, rows_by, with_rank_and_share
-from tierworks.operators.benchmark import median_by
+from tierworks.operators.benchmark import medians_by
 from tierworks.operators.windows import (
     group_max_and_delta,
     newest_per_key,
@@ -110,10 +110,10 @@ def test_newest_per_key_breaks_ties_by_all_columns(spark):
     assert rows_of(newest_per_key(df.orderBy(F.rand()), ["id"], ["at", "batch"])) == want
 
 
-@pytest.mark.parametrize("rows", [None, 5])
-def test_median(skewed, rows):
-    want = skewed.filter("x IS NOT NULL").groupBy("part").agg(F.median("x").alias("median"))
-    assert rows_of(median_by(skewed, ["part"], "x", rows_per_task=rows)) == rows_of(want)
+@pytest.mark.parametrize("rows", [None, 30])
+def test_medians(skewed, rows):
+    want = skewed.groupBy("part").agg(F.median("x").alias("x"), F.median("moment").alias("moment"))
+    assert rows_of(medians_by(skewed, ["part"], ["x", "moment"], rows)) == rows_of(want)
 
 
 @pytest.mark.parametrize("one_task", [None, 10])

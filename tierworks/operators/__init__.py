@@ -1,5 +1,5 @@
 from tierworks.operators.aggregates import batch_audit, revenue_by, rows_by, with_rank_and_share
-from tierworks.operators.benchmark import benchmark_summary, median_by
+from tierworks.operators.benchmark import benchmark_summary, medians_by
 from tierworks.operators.conform import conform, stringify
 from tierworks.operators.contract import contract_check, contract_projection, with_contract
 from tierworks.operators.landing import (

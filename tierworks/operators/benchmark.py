@@ -5,31 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierworks.plans.sizing import join_per_group
-from tierworks.plans.skew import OrderedGroups
+from tierworks.plans.skew import OrderedGroups, by_group_size
 from tierworks.plans.workspace import settle
 
 
-def median_by(
-    df: DataFrame, keys: list[str], value: str, *, name: str = "median", rows_per_task: int | None = None
+# A group's exact median is held in one buffer up to this many rows.
+ROWS_PER_BUFFER = 1_000_000
+
+
+def medians_by(
+    df: DataFrame, keys: list[str], values: list[str], rows_per_task: int | None = None
 ) -> DataFrame:
-    """Exact median per group, the mean of the two middle values when the count is even.
+    """Exact medians per group, under the names of the ``values``; with an even count the mean of the two
+    middle values. NULLs do not count.
 
-    Works on the row counts of distinct values in value order, so no group is held in one buffer.
+    Usual groups go through the built-in aggregate. It keeps all distinct values of a group, so large
+    groups go through the row counts of their values in order instead.
     """
-    known = df.filter(F.col(value).isNotNull())
-    # Settled, as it is read several times below.
-    counts = settle(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
-    ordered = OrderedGroups(counts, keys, [value], rows_per_task)
-    upto = ordered.running_sum(ordered.rows, F.col("_n"), "_upto")
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    placed = join_per_group(upto, totals, keys)
-
-    def at(position: str) -> Column:
-        return F.min(F.when(F.col("_upto") >= F.expr(position), F.col(value)))
-
-    return placed.groupBy(*keys).agg(
-        ((at("(_total + 1) div 2") + at("_total div 2 + 1")) / 2).alias(name)
-    )
+
+    def built_in(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(*[F.median(v).alias(v) for v in values])
+
+    def by_counts(rows: DataFrame) -> DataFrame:
+        long = rows.select(*keys, *[F.col(v).cast("double").alias(v) for v in values])
+        long = long.unpivot(keys, values, "_name", "_of").filter("_of IS NOT NULL")
+        of = [*keys, "_name"]
+        # Settled, as it is read several times below.
+        counts = settle(long.groupBy(*of, "_of").agg(F.count(F.lit(1)).alias("_n")))
+        ordered = OrderedGroups(counts, of, ["_of"], rows_per_task)
+        upto = ordered.running_sum(ordered.rows, F.col("_n"), "_upto")
+        totals = counts.groupBy(*of).agg(F.sum("_n").alias("_total"))
+
+        def at(position: str) -> Column:
+            return F.min(F.when(F.col("_upto") >= F.expr(position), F.col("_of")))
+
+        middle = (at("(_total + 1) div 2") + at("_total div 2 + 1")) / 2
+        found = join_per_group(upto, totals, of).groupBy(*of).agg(middle.alias("_mid"))
+        return found.groupBy(*keys).agg(
+            *[F.max(F.when(F.col("_name") == v, F.col("_mid"))).alias(v) for v in values]
+        )
+
+    return by_group_size(df, keys, built_in, by_counts, rows_per_task or ROWS_PER_BUFFER)
 
 
 def benchmark_summary(runs: DataFrame, rows_per_task: int | None = None) -> DataFrame:
@@ -60,18 +76,13 @@ def benchmark_summary(runs: DataFrame, rows_per_task: int | None = None) -> Data
         F.count(F.lit(1)).alias("kept_runs"),
         F.max("_total").alias("total_runs"),
     )
-    metrics = ["work_ms", "wall_ms", "cpu_ms", "rss_mb"]
-    long = timed.unpivot(["impl"], metrics, "metric", "value")
-    medians = median_by(long, ["impl", "metric"], "value", name="mid", rows_per_task=rows_per_task)
-    wide = medians.groupBy("impl").agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("mid"))).alias(m) for m in metrics]
-    )
+    medians = medians_by(timed, ["impl"], ["work_ms", "wall_ms", "cpu_ms", "rss_mb"], rows_per_task)
 
     def per(top: Column, bottom: Column) -> Column:
         return F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))
 
     return (
-        join_per_group(heads, wide, ["impl"])
+        join_per_group(heads, medians, ["impl"])
         .withColumn("rows_per_sec", per(F.col("rows"), F.col("work_ms") / 1000))
         .withColumn("cpu_per_wall", per(F.col("cpu_ms"), F.col("wall_ms")))
         .select(

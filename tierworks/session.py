@@ -12,6 +12,7 @@ SETTINGS = {
     # Split a skewed join even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.checkpoint.compress": "true",
 }
 
 
