@@ -30,9 +30,12 @@ def test_seed_to_gold(spark, tmp_path):
 
 def test_stream_job(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.txt").write_text('{"event_id": "a", "customer_id": 3, "amount": 1.5, "ts": "t"}\n')
-    query = jobs.stream(
+    (tmp_path / "in" / "a.txt").write_text('{"event_id": "a", "customer_id": 3, "amount": 1.5, "ts": "t"}\nbroken\n')
+    queries = jobs.stream(
         spark, str(tmp_path / "bronze"), str(tmp_path / "log"), "files", path=str(tmp_path / "in"), available_now=True
     )
-    query.awaitTermination()
+    for query in queries:
+        query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "bronze" / "orders")).collect() == [("a", "3", 1.5, "t")]
+    bad = spark.read.parquet(str(tmp_path / "bronze" / "_dead_letters" / "orders"))
+    assert bad.collect() == [("broken",)]

@@ -28,7 +28,7 @@ from tierworks.operators.windows import newest_per_key
 from tierworks.plans.workspace import settle
 from tierworks.session import session
 from tierworks.sources.synthetic import SHAPES, synth_source
-from tierworks.streaming.events import parse_events, stream_append, stream_source
+from tierworks.streaming.events import stream_source, stream_with_dead_letters
 
 KEY, TRACKED = ["id"], ["segment", "region"]
 CUSTOMER = ["id", "name", "segment", "region"]
@@ -70,7 +70,9 @@ def silver(spark: SparkSession, bronze_root: str, silver_root: str, as_of: Colum
 
     plain, snapshot = f"{silver_root}/dim_customer", f"{silver_root}/dim_customer_scd2"
     before = read_latest(spark, plain)
-    publish(scd2_apply(before, incoming, KEY, TRACKED, as_of), plain, ["region"])
+    after = scd2_apply(before, incoming, KEY, TRACKED, as_of)
+    # Later versions keep the layout of the one they were read from, so they are not shuffled to write.
+    publish(after, plain, ["region"], rebalance=before is None)
     before = read_latest(spark, snapshot)
     publish(scd2_snapshot(before, incoming, KEY, TRACKED, as_of), snapshot)
 
@@ -98,12 +100,21 @@ def gold(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str
 
 
 def stream(
-    spark: SparkSession, bronze_root: str, checkpoint: str, kind: str = "kafka", **options
-) -> StreamingQuery:
-    """Append order events to bronze until stopped."""
-    available_now = options.pop("available_now", False)
-    events, _ = parse_events(stream_source(spark, kind, **options))
-    return stream_append(events, f"{bronze_root}/orders", checkpoint, available_now)
+    spark: SparkSession,
+    bronze_root: str,
+    checkpoint: str,
+    kind: str = "kafka",
+    available_now: bool = False,
+    **options,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Append order events to bronze until stopped, and unreadable payloads next to them."""
+    return stream_with_dead_letters(
+        stream_source(spark, kind, **options),
+        f"{bronze_root}/orders",
+        f"{bronze_root}/_dead_letters/orders",
+        checkpoint,
+        available_now=available_now,
+    )
 
 
 def main() -> None:
@@ -128,7 +139,8 @@ def main() -> None:
         gold(spark, args.bronze, args.silver, args.gold).show(100, False)
     else:
         kafka = {"kafka.bootstrap.servers": args.brokers, "subscribe": args.topic}
-        stream(spark, args.bronze, args.checkpoint, **kafka).awaitTermination()
+        stream(spark, args.bronze, args.checkpoint, **kafka)
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -23,13 +23,15 @@ def full_refresh(
     target: str,
     partition_by: tuple[str, ...] | list[str] = (),
     max_records_per_file: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Replace a table (catalog name or path) by ``df``. ``df`` must not read from the target.
 
     With ``partition_by`` the rows are first rebalanced on those columns, so each value is written by
-    few tasks and adaptive execution still splits a value that is too large for one.
+    few tasks and adaptive execution still splits a value that is too large for one. That is a shuffle:
+    ``rebalance=False`` saves it for rows that come from a table laid out the same way.
     """
-    shaped = df.hint("rebalance", *partition_by) if partition_by else df
+    shaped = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
     writer = shaped.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -55,7 +57,12 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(known[-1]) if known else None
 
 
-def publish(df: DataFrame, root: str, partition_by: tuple[str, ...] | list[str] = ()) -> str:
+def publish(
+    df: DataFrame,
+    root: str,
+    partition_by: tuple[str, ...] | list[str] = (),
+    rebalance: bool = True,
+) -> str:
     """Write ``df`` as the next version of the table below ``root`` and return its path.
 
     The way to store a table computed from its own previous version: nothing that the plan reads is
@@ -64,7 +71,7 @@ def publish(df: DataFrame, root: str, partition_by: tuple[str, ...] | list[str]
     known = versions(df.sparkSession, root)
     last = int(known[-1].rsplit("=", 1)[-1]) if known else 0
     path = f"{root.rstrip('/')}/version={last + 1:012d}"
-    full_refresh(df, path, partition_by)
+    full_refresh(df, path, partition_by, rebalance=rebalance)
     return path
 
 
