@@ -27,6 +27,7 @@ from tierworks.operators.scd2 import (
     scd2_snapshot,
 )
 from tierworks.operators.storage import (
+    LAYOUTS,
     batch_history,
     best_variant,
     column_storage,
@@ -467,6 +468,16 @@ def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_files(spark, out, 0, tomorrow)
 
 
+def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the orphan files hold, by their footers: all orders and none of the streamed events."""
+    report = column_storage(spark, orphans(spark, sf_dir))
+    return report.groupBy("column").agg(F.sum("values").alias("n"))
+
+
+def layout_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layouts(spark, sf_dir).groupBy("variant", "column").agg(F.sum("values").alias("n"))
+
+
 def column_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = (
         spark.read.format("binaryFile").load(f"{sf_dir}/orders.parquet").select("path")
@@ -574,7 +585,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_inventory": stored_records,
         "batch_history": history_of_batches,
         "orphan_files": orphans,
+        "orphan_rows": orphan_rows,
         "column_storage": column_values,
+        "layout_values": layout_values,
         "layout_experiment": lambda s, d: best_variant(_layouts(s, d)),
         "layout_totals": lambda s, d: layout_totals(_layouts(s, d)),
         "benchmark_summary": run_summary,
@@ -670,11 +683,17 @@ _INVENTORY = " UNION ALL ".join(
     for name in ("customer", "events", "lineitem", "orders", "supplier")
 )
 
-_COLUMN_VALUES = " UNION ALL ".join(
-    f"SELECT '{name}' AS \"column\", count(*) AS n, true AS has_bytes FROM orders"
+_ORDER_COLUMNS = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"column\", count(*) AS n FROM orders"
     for name in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 )
 
+_LAYOUT_VALUES = " UNION ALL ".join(
+    f"SELECT '{variant}' AS variant, '{name}' AS \"column\", count(*) AS n FROM events"
+    for variant in LAYOUTS
+    for name in ("event_id", "customer_id", "amount", "ts")
+)
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -818,7 +837,9 @@ FROM events""",
         "file_inventory": _INVENTORY,
         "batch_history": """
 SELECT strftime(o_orderdate, 'y%Y') AS _batch_id, count(*) AS rows, CAST(1 AS BIGINT) AS files FROM orders GROUP BY 1""",
-        "column_storage": _COLUMN_VALUES,
+        "orphan_rows": _ORDER_COLUMNS,
+        "column_storage": f"SELECT *, true AS has_bytes FROM ({_ORDER_COLUMNS})",
+        "layout_values": _LAYOUT_VALUES,
         "benchmark_summary": """
 WITH runs AS (
   SELECT o_orderstatus AS impl, o_orderkey AS nth, o_custkey AS rows, o_totalprice AS work,
