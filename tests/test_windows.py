@@ -141,6 +141,9 @@ def test_revenue_by(spark, monkeypatch, broadcast_rows):
     assert rows_of(revenue_by(facts, dim, "segment")) == [("ent", 30.3), ("smb", 5.0)]
     assert rows_of(revenue_by(facts, dim, "segment", current_only=False)) == [("ent", 30.3), ("smb", 35.3)]
     assert rows_of(revenue_by(facts, dim, "segment", where=F.col("segment") == "smb", fact_where=F.col("amount") < 5)) == []
+    fine = spark.createDataFrame([(2, 0.0625), (2, 0.0625)], "customer_id int, amount double")
+    assert rows_of(revenue_by(fine, dim, "segment", sum_type="decimal(20,6)")) == [("smb", 0.125)]
+    assert rows_of(revenue_by(fine, dim, "segment", sum_type=None)) == [("smb", 0.125)]
     by_id = dim.withColumnRenamed("segment", "id2")
     assert revenue_by(facts, by_id, "id").columns == ["id", "revenue"]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tierworks.functions import exact, newest_first, oldest_first
+from tierworks.functions import MONEY, exact, newest_first, oldest_first
 from tierworks.plans.sizing import fits_broadcast, join_per_group, measure
 from tierworks.plans.skew import OrderedGroups
 
@@ -33,6 +33,7 @@ def revenue_by(
     dim_key: str = "id",
     amount: str = "amount",
     fact_where: Column | None = None,
+    sum_type: str | None = MONEY,
 ) -> DataFrame:
     """``by``, ``revenue``: the amounts of the fact summed over an attribute of the dimension.
 
@@ -48,7 +49,7 @@ def revenue_by(
     versions = versions.select(F.col(dim_key).alias("_key"), F.col(by)).filter("_key IS NOT NULL")
 
     facts = fact.filter(fact_where) if fact_where is not None else fact
-    facts = facts.select(F.col(fact_key).alias("_fact_key"), exact(facts, amount).alias("_amount"))
+    facts = facts.select(F.col(fact_key).alias("_fact_key"), exact(facts, amount, sum_type).alias("_amount"))
     facts = facts.filter("_fact_key IS NOT NULL")
 
     if fits_broadcast(versions):
@@ -68,6 +69,7 @@ def with_rank_and_share(
     rank: str = "revenue_rank",
     share: str = "revenue_share",
     one_task_rows: int | None = None,
+    sum_type: str | None = MONEY,
 ) -> DataFrame:
     """Add the rank by ``measure_col`` (largest first, gaps after ties) and the share of the total.
 
@@ -77,7 +79,7 @@ def with_rank_and_share(
     """
     limit = one_task_rows or ONE_TASK_ROWS
     kept = measure(df)
-    amount = exact(df, measure_col)
+    amount = exact(df, measure_col, sum_type)
     if kept.rows <= limit:
         ranked = kept.df.withColumn(
             rank, F.rank().over(Window.orderBy(newest_first(measure_col))).cast("bigint")
