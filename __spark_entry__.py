@@ -540,7 +540,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return revenue_by_segment(spark, "/root/testdata/sf0.001")
 
 
+def text_queries():
+    """The module of the text operators' queries; None where that package is not installed."""
+    try:
+        from tierworks.llm import queries as text
+    except ModuleNotFoundError as missing:
+        if missing.name != "tierworks.llm":
+            raise
+        return None
+    return text
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    text = text_queries()
+    return table_queries() | (text.queries() if text else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    text = text_queries()
+    return table_sql() | (text.oracle_sql() if text else {})
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "revenue_by_segment": revenue_by_segment,
         "revenue_by_region_all_versions": revenue_by_region_all_versions,
@@ -695,7 +716,7 @@ _LAYOUT_VALUES = " UNION ALL ".join(
 )
 
 
-def oracle_sql() -> dict[str, str]:
+def table_sql() -> dict[str, str]:
     return {
         "revenue_by_segment": f"""WITH {_DIM},
 rev AS (
