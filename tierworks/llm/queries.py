@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierworks.llm import bpe, url_filter
+from tierworks.llm import bpe, decontaminate, langid, quality_rules, token_files, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
+END_ID = 1
 
 #: The domain rules of op8.
 DOMAIN_RULES = (
@@ -33,6 +34,37 @@ def inline_rows(spark: SparkSession, rows, names) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*cells)))
 
 
+def remainder(by: int) -> Column:
+    """crc32 of the document's id as text, modulo ``by``; NULL ids count as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % by
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter((remainder(5) != 0) & F.col("text").isNotNull()))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_rules.STATISTICS, "base_failed", "kept", "rejected_by")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.with_ids(docs, tokenizer_path(), decoded=True)
@@ -44,6 +76,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = token_files.round_trip(docs, tokenizer_path(), END_ID)
+    return back.select(
+        "doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     domains = inline_rows(spark, DOMAIN_RULES, ("host", "path", "verdict"))
@@ -84,7 +124,14 @@ FROM ruled"""
 
 
 def queries() -> dict:
-    return {"op7_bpe": op7_bpe, "op8_url_filters": op8_url_filters}
+    return {
+        "op1_language_id": op1_language_id,
+        "op2_decontamination": op2_decontamination,
+        "op3_quality_rules": op3_quality_rules,
+        "op7_bpe": op7_bpe,
+        "op8_url_filters": op8_url_filters,
+        "op9_token_files": op9_token_files,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
