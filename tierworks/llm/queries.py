@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierworks.llm import bpe, decontaminate, langid, quality_rules, token_files, url_filter
+from tierworks.llm import bpe, decontaminate, langid, minhash, quality_rules, token_files, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -65,6 +65,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATISTICS, "base_failed", "kept", "rejected_by")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, size=4).withColumnRenamed("id", "doc_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.with_ids(docs, tokenizer_path(), decoded=True)
@@ -128,6 +133,7 @@ def queries() -> dict:
         "op1_language_id": op1_language_id,
         "op2_decontamination": op2_decontamination,
         "op3_quality_rules": op3_quality_rules,
+        "op4_near_duplicates": op4_near_duplicates,
         "op7_bpe": op7_bpe,
         "op8_url_filters": op8_url_filters,
         "op9_token_files": op9_token_files,
