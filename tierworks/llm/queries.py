@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierworks.llm import bpe, decontaminate, langid, minhash, quality_rules, token_files, url_filter
+from tierworks.llm import bpe, decontaminate, langid, minhash, quality_rules, suffix_dedup, token_files, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -97,6 +97,18 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, domains, patterns).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffix_dedup.without_repeats(docs)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 _SEP = "(?:[^a-z0-9]|^|$)"
 OP8_SQL = f"""
 WITH cut AS (
@@ -137,6 +149,7 @@ def queries() -> dict:
         "op7_bpe": op7_bpe,
         "op8_url_filters": op8_url_filters,
         "op9_token_files": op9_token_files,
+        "op10_repeated_strings": op10_repeated_strings,
     }
 
 
