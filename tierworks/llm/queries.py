@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierworks.llm import bpe, decontaminate, langid, minhash, quality_rules, suffix_dedup, token_files, url_filter
+from tierworks.llm import bpe, decontaminate, katz, langid, minhash, quality_rules, suffix_dedup, token_files, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -70,6 +70,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, size=4).withColumnRenamed("id", "doc_id")
 
 
+def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder(10) == 0).alias("held"))
+    return katz.score_texts(docs, "doc_id", "text", "held").withColumnRenamed("key", "doc_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.with_ids(docs, tokenizer_path(), decoded=True)
@@ -146,6 +151,7 @@ def queries() -> dict:
         "op2_decontamination": op2_decontamination,
         "op3_quality_rules": op3_quality_rules,
         "op4_near_duplicates": op4_near_duplicates,
+        "op6_katz_scores": op6_katz_scores,
         "op7_bpe": op7_bpe,
         "op8_url_filters": op8_url_filters,
         "op9_token_files": op9_token_files,
