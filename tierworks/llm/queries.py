@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierworks.llm import bpe, decontaminate, katz, langid, minhash, quality_rules, suffix_dedup, token_files, url_filter
+from tierworks.llm import bpe, decontaminate, katz, langid, minhash, quality_rules, suffix_dedup, token_files, url_filter, weak_labels
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -70,6 +70,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, size=4).withColumnRenamed("id", "doc_id")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    heads = weak_labels.fit(docs, table(spark, sf_dir, "labels"))
+    return weak_labels.classify(docs, heads).select("doc_id", "p_quality_bad", "p_toxic", "kept")
+
+
 def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder(10) == 0).alias("held"))
     return katz.score_texts(docs, "doc_id", "text", "held").withColumnRenamed("key", "doc_id")
@@ -145,17 +151,25 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled"""
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
         "op2_decontamination": op2_decontamination,
         "op3_quality_rules": op3_quality_rules,
         "op4_near_duplicates": op4_near_duplicates,
+        "op5_quality_classifier": op5_quality_classifier,
         "op6_katz_scores": op6_katz_scores,
         "op7_bpe": op7_bpe,
         "op8_url_filters": op8_url_filters,
         "op9_token_files": op9_token_files,
         "op10_repeated_strings": op10_repeated_strings,
+        "pipeline": pipeline,
     }
 
 
