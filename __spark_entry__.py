@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tierworks.functions import MONEY
 from tierworks.operators.aggregates import batch_audit, revenue_by, rows_by, with_rank_and_share
 from tierworks.operators.benchmark import benchmark_summary, medians_by
 from tierworks.operators.conform import conform, stringify
@@ -27,13 +28,8 @@ from tierworks.operators.scd2 import (
     scd2_snapshot,
 )
 from tierworks.operators.storage import (
-    LAYOUTS,
     batch_history,
-    best_variant,
-    column_storage,
     file_inventory,
-    layout_report,
-    layout_totals,
     orphan_files,
 )
 from tierworks.operators.windows import (
@@ -44,7 +40,6 @@ from tierworks.operators.windows import (
     top_per_group,
 )
 from tierworks.plans.workspace import scratch_path, settle
-from tierworks.sources.synthetic import SHAPES, synth_source
 from tierworks.streaming.events import parse_events, stream_append, stream_dedupe, stream_source
 
 KEY, TRACKED = ["id"], ["segment", "region"]
@@ -129,7 +124,7 @@ def stamped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     revenue = revenue_by(invoices(spark, sf_dir), stored_dimension(spark, sf_dir), "segment")
-    return with_rank_and_share(revenue, "revenue")
+    return with_rank_and_share(revenue, "revenue", sum_type=MONEY)
 
 
 def revenue_by_region_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +144,7 @@ def revenue_by_region_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rank and share over many rows: the path that never gathers the table in one task."""
     revenue = revenue_by(invoices(spark, sf_dir), stored_dimension(spark, sf_dir), "id")
-    return with_rank_and_share(revenue, "revenue", one_task_rows=500)
+    return with_rank_and_share(revenue, "revenue", one_task_rows=500, sum_type=MONEY)
 
 
 # --- windows -------------------------------------------------------------------------------------
@@ -182,20 +177,21 @@ def salary_against_group(spark: SparkSession, sf_dir: str) -> DataFrame:
         "salary",
         max_name="dept_max_salary",
         delta_name="delta_from_dept_avg",
+        sum_type=MONEY,
     )
     return result.withColumn("delta_from_dept_avg", F.round("delta_from_dept_avg", 6))
 
 
 def event_value_against_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = group_max_and_delta(
-        _events_in_time(spark, sf_dir), ["event_type"], "value", rows_per_task=1_500
+        _events_in_time(spark, sf_dir), ["event_type"], "value", rows_per_task=1_500, sum_type=MONEY
     )
     return result.withColumn("delta_from_avg", F.round("delta_from_avg", 6))
 
 
 def invoice_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     bills = invoices(spark, sf_dir).drop("invoiced_at")
-    return running_total(bills, ["customer_id"], ["invoice_id"], "amount")
+    return running_total(bills, ["customer_id"], ["invoice_id"], "amount", sum_type=MONEY)
 
 
 def invoice_period_change(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,10 +207,17 @@ def _events_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def running_total_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A handful of event types share all rows, so each group is cut into cells."""
     return running_total(
-        _events_in_time(spark, sf_dir), ["event_type"], ["ts", "event_id"], "value", rows_per_task=1_500
+        _events_in_time(spark, sf_dir), ["event_type"], ["ts", "event_id"], "value", rows_per_task=1_500, sum_type=MONEY
     )
 
 
+def running_total_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values far below a cent, added as they are; the result is rounded, not the values."""
+    small = _events_in_time(spark, sf_dir).withColumn("value", F.col("value") / 1000)
+    total = running_total(small, ["event_type"], ["ts", "event_id"], "value", rows_per_task=1_500)
+    return total.select("event_type", "event_id", F.round("running_total", 6).alias("running_total"))
+
+
 def period_change_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = period_change(
         _events_in_time(spark, sf_dir), ["event_type"], ["ts", "event_id"], "value", rows_per_task=1_500
@@ -304,7 +307,7 @@ def orders_as_of_many_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = settle(priority_history(spark, sf_dir))
     joined = join_as_of(
         orders, history, "o_orderpriority", "o_orderpriority", "asked_at",
-        versions_per_key=20, rows_per_task=5_000,
+        broadcast=False, rows_per_task=5_000,
     )
     return joined.select("o_orderkey", "o_orderpriority", "asked_at", "status", "effective_from")
 
@@ -356,27 +359,6 @@ def land_json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(landed, EVENT_TYPES)[0]
 
 
-def synth_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many seed rows per source as there are customers; each foreign key must meet a customer."""
-    known = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
-    rows = known.count()
-    checks = []
-    for name, (_, columns) in SHAPES.items():
-        seed = synth_source(spark, name, rows, days=30, seed=7)
-        if "customer_id" in columns:
-            seed = seed.join(known.withColumn("_met", F.lit(True)), "customer_id", "left")
-        else:
-            seed = seed.withColumn("_met", F.lit(True))
-        checks.append(
-            seed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_met").isNull()).alias("unmet"))
-            .select(F.lit(name).alias("source"), "n", "unmet")
-        )
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
-
-
 # --- streams -------------------------------------------------------------------------------------
 
 
@@ -430,6 +412,15 @@ def _retention(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return retain(table(spark, sf_dir, "events"), "ts", at("2024-01-31 00:00:00"), 10)
 
 
+def compacted_with_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later files have a column that earlier ones lack; the compacted table has it too."""
+    src, dst = scratch_path(spark, "grown"), scratch_path(spark, "compacted")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders.filter("o_orderstatus <> 'O'").drop("o_orderpriority").write.parquet(src)
+    orders.filter("o_orderstatus = 'O'").write.mode("append").parquet(src)
+    return compact(spark, src, dst)
+
+
 def compacted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     many, few = scratch_path(spark, "many"), scratch_path(spark, "few")
     table(spark, sf_dir, "orders").repartition(20).write.parquet(many)
@@ -447,56 +438,37 @@ def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in ("customer", "events", "lineitem", "orders", "supplier"):
         one = file_inventory(spark, f"{sf_dir}/{name}.parquet")
         found = one if found is None else found.unionByName(one)
-    return found.select(F.substring_index("file_path", "/", -1).alias("file"), "records")
+    return found.select(
+        F.substring_index("file_path", "/", -1).alias("file"), "records", (F.col("file_bytes") > 0).alias("has_bytes"), "is_small"
+    )
 
 
 def history_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders stored as one batch per year."""
     out = scratch_path(spark, "batches")
     orders = table(spark, sf_dir, "orders").withColumn("_batch_id", F.date_format("o_orderdate", "'y'yyyy"))
-    orders.coalesce(1).write.partitionBy("_batch_id").parquet(out)
-    return batch_history(spark, out, "_batch_id").drop("first_written", "last_written")
+    orders.write.partitionBy("_batch_id").parquet(out)
+    # How many files a batch has is the writer's choice.
+    return batch_history(spark, out, "_batch_id").drop("files", "first_written", "last_written")
 
 
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch write into a stream's folder leaves files the stream never committed."""
+    """A batch write into a stream's folder leaves files the stream never committed; what they hold."""
     out = scratch_path(spark, "stream-out")
     stream = parse_events(_order_stream(spark, sf_dir, copies=1))[0]
     stream_append(stream, out, scratch_path(spark, "stream-log"), available_now=True).awaitTermination()
     table(spark, sf_dir, "orders").write.mode("append").parquet(out)
     tomorrow = F.current_timestamp() + F.make_dt_interval(F.lit(1))
-    return orphan_files(spark, out, 0, tomorrow)
+    found = orphan_files(spark, out, 0, tomorrow).select(F.col("_metadata.file_path").alias("file"))
+    orders = table(spark, sf_dir, "orders")
+    stored = spark.read.schema(orders.schema).parquet(f"{out}/[!_.]*")
+    named = stored.withColumn("file", F.col("_metadata.file_path"))
+    return named.join(F.broadcast(settle(found)), "file", "left_semi").select(*orders.columns)
 
 
 def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the orphan files hold, by their footers: all orders and none of the streamed events."""
-    report = column_storage(spark, orphans(spark, sf_dir))
-    return report.groupBy("column").agg(F.sum("values").alias("n"))
-
-
-def layout_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _layouts(spark, sf_dir).groupBy("variant", "column").agg(F.sum("values").alias("n"))
-
-
-def column_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = (
-        spark.read.format("binaryFile").load(f"{sf_dir}/orders.parquet").select("path")
-    )
-    return (
-        column_storage(spark, files)
-        .groupBy("column")
-        .agg(F.sum("values").alias("n"), F.min(F.col("compressed_bytes") > 0).alias("has_bytes"))
-    )
-
-
-def _layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(
-        F.md5(F.col("event_id").cast("string")).alias("event_id"),
-        F.col("user_id").alias("customer_id"),
-        F.col("value").alias("amount"),
-        F.col("ts").cast("string").alias("ts"),
-    )
-    return layout_report(spark, events, scratch_path(spark, "layouts"))
+    """How many rows the orphan files hold."""
+    return orphans(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
 
 
 def runs_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -575,6 +547,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "group_max_hot_groups": event_value_against_type,
         "running_total": invoice_running_total,
         "running_total_hot_groups": running_total_hot_groups,
+        "running_total_of_parts": running_total_of_parts,
         "period_change": invoice_period_change,
         "period_change_hot_groups": period_change_hot_groups,
         "conform_typed": conform_typed,
@@ -602,18 +575,14 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retention_kept": lambda s, d: _retention(s, d)[0],
         "retention_archived": lambda s, d: _retention(s, d)[1],
         "compacted_rows": compacted_rows,
+        "compacted_with_added_column": compacted_with_added_column,
         "repartitioned_rows": repartitioned_rows,
         "file_inventory": stored_records,
         "batch_history": history_of_batches,
         "orphan_files": orphans,
         "orphan_rows": orphan_rows,
-        "column_storage": column_values,
-        "layout_values": layout_values,
-        "layout_experiment": lambda s, d: best_variant(_layouts(s, d)),
-        "layout_totals": lambda s, d: layout_totals(_layouts(s, d)),
         "benchmark_summary": run_summary,
         "medians_hot_groups": run_medians_hot_groups,
-        "synth_source": synth_foreign_keys,
     }
 
 
@@ -694,28 +663,11 @@ history AS (
   FROM marked WHERE nth = 1 OR status IS DISTINCT FROM before
 )"""
 
-_SYNTH = " UNION ALL ".join(
-    f"SELECT '{name}' AS source, (SELECT count(*) FROM customer) AS n, CAST(0 AS BIGINT) AS unmet"
-    for name in SHAPES
-)
-
 _INVENTORY = " UNION ALL ".join(
-    f"SELECT '{name}.parquet' AS file, count(*) AS records FROM {name}"
+    f"SELECT '{name}.parquet' AS file, count(*) AS records, true AS has_bytes, true AS is_small FROM {name}"
     for name in ("customer", "events", "lineitem", "orders", "supplier")
 )
 
-_ORDER_COLUMNS = " UNION ALL ".join(
-    f"SELECT '{name}' AS \"column\", count(*) AS n FROM orders"
-    for name in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-)
-
-_LAYOUT_VALUES = " UNION ALL ".join(
-    f"SELECT '{variant}' AS variant, '{name}' AS \"column\", count(*) AS n FROM events"
-    for variant in LAYOUTS
-    for name in ("event_id", "customer_id", "amount", "ts")
-)
-
-
 def table_sql() -> dict[str, str]:
     return {
         "revenue_by_segment": f"""WITH {_DIM},
@@ -764,6 +716,10 @@ SELECT o_orderkey AS invoice_id, o_custkey AS customer_id, o_totalprice AS amoun
          PARTITION BY o_custkey ORDER BY o_orderkey
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total
 FROM orders""",
+        "running_total_of_parts": """
+SELECT event_type, event_id, round(sum(value / 1000) OVER (
+         PARTITION BY event_type ORDER BY ts NULLS LAST, event_id ROWS UNBOUNDED PRECEDING), 6) AS running_total
+FROM events""",
         "running_total_hot_groups": """
 SELECT event_type, ts, event_id, value,
        CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (
@@ -854,13 +810,14 @@ FROM events""",
         "retention_kept": f"{_EVENTS} WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 10 DAY",
         "retention_archived": f"{_EVENTS} WHERE ts < TIMESTAMP '2024-01-31' - INTERVAL 10 DAY",
         "compacted_rows": _ORDERS,
+        "compacted_with_added_column": """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority FROM orders""",
         "repartitioned_rows": _ORDERS,
         "file_inventory": _INVENTORY,
         "batch_history": """
-SELECT strftime(o_orderdate, 'y%Y') AS _batch_id, count(*) AS rows, CAST(1 AS BIGINT) AS files FROM orders GROUP BY 1""",
-        "orphan_rows": _ORDER_COLUMNS,
-        "column_storage": f"SELECT *, true AS has_bytes FROM ({_ORDER_COLUMNS})",
-        "layout_values": _LAYOUT_VALUES,
+SELECT strftime(o_orderdate, 'y%Y') AS _batch_id, count(*) AS rows FROM orders GROUP BY 1""",
+        "orphan_files": "SELECT * FROM orders",
+        "orphan_rows": "SELECT count(*) AS n FROM orders",
         "benchmark_summary": """
 WITH runs AS (
   SELECT o_orderstatus AS impl, o_orderkey AS nth, o_custkey AS rows, o_totalprice AS work,
@@ -886,5 +843,4 @@ FROM mid""",
         "medians_hot_groups": """
 SELECT o_orderstatus, median(o_totalprice) AS o_totalprice, median(o_custkey) AS o_custkey
 FROM orders GROUP BY o_orderstatus""",
-        "synth_source": _SYNTH,
     }

@@ -192,8 +192,8 @@ def test_as_of_is_half_open(spark):
     assert scd2_as_of(dim, day(-1)).count() == 0
 
 
-@pytest.mark.parametrize("versions_per_key,rows_per_task", [(None, None), (2, None), (2, 5)])
-def test_join_as_of_by_range_and_by_order_agree(spark, versions_per_key, rows_per_task):
+@pytest.mark.parametrize("broadcast,rows_per_task", [(None, None), (True, None), (False, None), (False, 5)])
+def test_join_as_of_by_bisection_and_by_order_agree(spark, broadcast, rows_per_task):
     log = history(spark, keys=9, batches=20)
     dim = scd2_rebuild(log, KEY, TRACKED, "batch_ts").checkpoint()
     # A gap: some versions end before the next one starts.
@@ -202,6 +202,9 @@ def test_join_as_of_by_range_and_by_order_agree(spark, versions_per_key, rows_pe
         F.when((F.col("id") % 3 == 0) & F.col("effective_to").isNotNull(), F.col("effective_from") + F.expr("INTERVAL 5 HOURS"))
         .otherwise(F.col("effective_to")),
     )
+    # Empty versions are never valid: one that ends when it begins, one without a start.
+    odd = dim.limit(3).withColumn("effective_to", F.col("effective_from"))
+    dim = dim.unionByName(odd).unionByName(odd.withColumn("effective_from", F.lit(None).cast("timestamp"))).checkpoint()
     facts = spark.createDataFrame(
         [(n, n % 11 if n % 13 else None, day(0) + dt.timedelta(hours=7 * (n % 71)) if n % 17 else None) for n in range(400)],
         "fact bigint, customer bigint, at timestamp",
@@ -210,6 +213,31 @@ def test_join_as_of_by_range_and_by_order_agree(spark, versions_per_key, rows_pe
         dim, (F.col("customer") == F.col("id")) & (F.col("effective_from") <= F.col("at"))
         & (F.col("effective_to").isNull() | (F.col("at") < F.col("effective_to"))),
     ).select("fact", "segment", "region", "effective_from")
-    got = join_as_of(facts, dim, "customer", "id", "at", versions_per_key=versions_per_key, rows_per_task=rows_per_task)
+    got = join_as_of(facts, dim, "customer", "id", "at", broadcast=broadcast, rows_per_task=rows_per_task)
     assert rows_of(got.select(*expected.columns)) == rows_of(expected)
     assert expected.count() > 100
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("first_end", [None, 5])
+def test_overlapping_versions_fail_either_way(spark, broadcast, first_end):
+    versions = [(1, "a", day(0), day(first_end) if first_end else None), (1, "b", day(3), None)]
+    dim = spark.createDataFrame(versions, "id bigint, v string, effective_from timestamp, effective_to timestamp")
+    facts = spark.createDataFrame([(1, day(4))], "customer bigint, at timestamp")
+    with pytest.raises(Exception, match="overlapping versions"):
+        join_as_of(facts, dim, "customer", "id", "at", broadcast=broadcast).collect()
+
+
+def test_as_of_must_follow_the_standing_version(spark):
+    dim = first_versions(spark.createDataFrame([(1, "a", "x")], "id bigint, segment string, region string"), ["id"], F.lit(day(5)))
+    changed = spark.createDataFrame([(1, "b", "x")], "id bigint, segment string, region string")
+    for moment in (day(4), day(5)):
+        with pytest.raises(Exception, match="as_of is not after"):
+            scd2_apply(dim, changed, ["id"], ["segment", "region"], F.lit(moment)).collect()
+    assert scd2_apply(dim, changed, ["id"], ["segment", "region"], F.lit(day(6))).count() == 2
+
+
+def test_surrogates_keep_key_parts_apart(spark):
+    rows = spark.createDataFrame([("a|b", "c", "x"), ("a", "b|c", "x")], "k string, l string, v string")
+    made = scd2_snapshot(None, rows, ["k", "l"], ["v"], F.lit(day(0)))
+    assert made.select("dbt_scd_id").distinct().count() == 2

@@ -19,7 +19,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierworks.functions import ingest_instant
+from tierworks.functions import MONEY, ingest_instant
 from tierworks.operators.aggregates import revenue_by, with_rank_and_share
 from tierworks.operators.conform import conform
 from tierworks.operators.landing import full_refresh, land_batch, land_bronze, publish, read_latest
@@ -90,12 +90,14 @@ def silver(spark: SparkSession, bronze_root: str, silver_root: str, as_of: Colum
 
 
 def gold(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str) -> DataFrame:
-    """``revenue_by_segment`` from landed invoices and the current customers."""
+    """``revenue_by_segment`` from conformed invoices and the current customers.
+
+    Invoices that do not fit their types are in silver's ``_rejected``, with the reason.
+    """
     dim = read_latest(spark, f"{silver_root}/dim_customer_scd2")
-    invoices = spark.read.parquet(f"{bronze_root}/billing_invoices")
-    invoices = invoices.withColumn("customer_id", F.col("customer_id").try_cast("int"))
+    invoices = spark.read.parquet(f"{silver_root}/billing_invoices")
     target = f"{gold_root}/revenue_by_segment"
-    full_refresh(with_rank_and_share(revenue_by(invoices, dim, "segment"), "revenue"), target)
+    full_refresh(with_rank_and_share(revenue_by(invoices, dim, "segment"), "revenue", sum_type=MONEY), target)
     return spark.read.parquet(target)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tierworks.functions import MONEY, exact, newest_first, oldest_first
 from tierworks.plans.sizing import fits_broadcast, join_per_group, measure
 from tierworks.plans.skew import OrderedGroups
+from tierworks.plans.workspace import settle
 
 # A window over the whole table runs in one task; above this many rows it is computed in cells.
 ONE_TASK_ROWS = 100_000
@@ -69,13 +70,14 @@ def with_rank_and_share(
     rank: str = "revenue_rank",
     share: str = "revenue_share",
     one_task_rows: int | None = None,
-    sum_type: str | None = MONEY,
+    sum_type: str | None = None,
 ) -> DataFrame:
     """Add the rank by ``measure_col`` (largest first, gaps after ties) and the share of the total.
 
     Meant for the few rows left by an aggregate. The rows are counted, and a larger table is ranked
     through the row counts of its distinct values, so that neither the table nor a block of ties is
-    gathered in one task.
+    gathered in one task. Ranks are the same either way: NaN before all numbers, NULL behind them. Pass
+    ``sum_type=MONEY`` for a total of money that does not hang on row order.
     """
     limit = one_task_rows or ONE_TASK_ROWS
     kept = measure(df)
@@ -86,13 +88,15 @@ def with_rank_and_share(
         )
         total = F.sum(amount).over(Window.partitionBy())
     else:
-        counts = kept.df.groupBy(measure_col).agg(F.count(F.lit(1)).alias("_n"))
-        counts = counts.withColumn("_down", -F.col(measure_col))
-        ordered = OrderedGroups(counts, [], ["_down"], limit)
+        counts = settle(kept.df.groupBy(measure_col).agg(F.count(F.lit(1)).alias("_n")))
+        known = counts.filter(F.col(measure_col).isNotNull())
+        rows, value = known.agg(F.sum("_n"), F.sum(exact(known, measure_col, sum_type) * F.col("_n"))).first()
+        # Ascending has NaN last and NULL behind it: from the top, NaN is first and NULL last, as in a window.
+        ordered = OrderedGroups(counts, [], [measure_col], limit)
         upto = ordered.running_sum(ordered.rows, F.col("_n"), "_upto")
-        ranks = upto.select(measure_col, (F.col("_upto") - F.col("_n") + 1).cast("bigint").alias(rank))
-        ranked = join_per_group(kept.df, ranks, [measure_col])
-        total = F.lit(kept.df.agg(F.sum(amount)).first()[0])
+        larger = F.when(F.col(measure_col).isNull(), F.lit(rows or 0)).otherwise(F.lit(rows or 0) - F.col("_upto"))
+        ranked = join_per_group(kept.df, upto.select(measure_col, (larger + 1).cast("bigint").alias(rank)), [measure_col])
+        total = F.lit(value)
     part = F.try_divide(F.col(measure_col).cast("double"), total.cast("double"))
     return ranked.withColumn(share, F.round(part, places))
 

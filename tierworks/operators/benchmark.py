@@ -41,9 +41,11 @@ def medians_by(
 
         middle = (at("(_total + 1) div 2") + at("_total div 2 + 1")) / 2
         found = join_per_group(upto, totals, of).groupBy(*of).agg(middle.alias("_mid"))
-        return found.groupBy(*keys).agg(
+        wide = found.groupBy(*keys).agg(
             *[F.max(F.when(F.col("_name") == v, F.col("_mid"))).alias(v) for v in values]
         )
+        # A group without any value is a group still, as in the built-in way.
+        return join_per_group(rows.select(*keys).distinct(), wide, keys, "left")
 
     return by_group_size(df, keys, built_in, by_counts, rows_per_task or ROWS_PER_BUFFER)
 

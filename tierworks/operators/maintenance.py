@@ -18,11 +18,18 @@ def _rewrite(df: DataFrame, dst: str, partition_by: list[str]) -> int:
     return int(seen.get["rows"])
 
 
+def _whole(spark: SparkSession, src: str) -> DataFrame:
+    """A table with all columns that any of its files has; files without one give NULL."""
+    return spark.read.option("mergeSchema", True).parquet(src)
+
+
 def _verified(spark: SparkSession, src: str, dst: str, written: int) -> DataFrame:
-    result = spark.read.parquet(dst)
-    expected, stored = spark.read.parquet(src).count(), result.count()
+    result, source = spark.read.parquet(dst), _whole(spark, src)
+    expected, stored = source.count(), result.count()
     if not expected == written == stored:
         raise RuntimeError(f"{dst}: {expected} rows read, {written} written, {stored} stored")
+    if set(source.columns) != set(result.columns):
+        raise RuntimeError(f"{dst}: columns {sorted(result.columns)} instead of {sorted(source.columns)}")
     return result
 
 
@@ -56,7 +63,7 @@ def compact(
     adaptive execution splits large values and joins small ones. Row counts are compared afterwards.
     """
     own = _file_session(spark, target_bytes)
-    df = own.read.parquet(src)
+    df = _whole(own, src)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     written = _rewrite(df, dst, partition_by or [])
@@ -70,7 +77,7 @@ def repartition_table(
     own = _file_session(spark, target_bytes)
     # Types come from the reader's own session here: a former partition column becomes a data column.
     own.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
-    written = _rewrite(own.read.parquet(src).hint("rebalance", *by), dst, by)
+    written = _rewrite(_whole(own, src).hint("rebalance", *by), dst, by)
     return _verified(spark, src, dst, written)
 
 

@@ -7,18 +7,16 @@ new dimension, to be written to a new location (see :mod:`tierworks.operators.la
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tierworks.plans.sizing import fits_broadcast, measure
-from tierworks.plans.skew import OrderedGroups, large_groups, split_by_keys
+from tierworks.plans.sizing import measure
+from tierworks.plans.skew import OrderedGroups, bounds_up_to
+from tierworks.plans.workspace import settle
 
 VALIDITY = ("effective_from", "effective_to", "is_current")
 SNAPSHOT_NAMES = {"effective_from": "dbt_valid_from", "effective_to": "dbt_valid_to"}
-# More versions than this of one key are matched by order instead of by comparing all of them.
-VERSIONS_PER_KEY = 1_000
 
 
 def _moment(value) -> Column:
@@ -79,7 +77,8 @@ def scd2_apply(
     * everything else stays, including keys the batch does not mention (unless ``close_missing``).
 
     Other columns change only together with a tracked one. ``null_safe=False`` compares with ``<>``,
-    under which a change from or to NULL goes unnoticed. Rows with a NULL key are left out (see
+    under which a change from or to NULL goes unnoticed. An ``as_of`` that is not after the start of a version
+    it would close fails the job. Rows with a NULL key are left out (see
     :func:`split_null_keys`); a key that occurs twice in the batch fails the job.
 
     Only current rows are joined; history passes by. A batch measured to be small is broadcast, and
@@ -120,10 +119,13 @@ def scd2_apply(
         )
 
     never = F.lit(None).cast(dim.schema["effective_to"].dataType)
+    backward = F.raise_error(F.concat_ws("|", F.lit("as_of is not after the start of the standing version"), *old_key))
     kept = version(
         old,
         F.col("effective_from"),
-        F.when(closed, at).otherwise(F.col("effective_to")),
+        F.when(closed & (F.col("effective_from") >= at), backward.cast(dim.schema["effective_to"].dataType))
+        .when(closed, at)
+        .otherwise(F.col("effective_to")),
         ~closed,
     )
     opened = version(new, at, never, F.lit(True))
@@ -159,9 +161,9 @@ def scd2_snapshot(
         dim = dim.withColumn("is_current", F.col("effective_to").isNull())
     applied = scd2_apply(dim, incoming, key, check_cols, as_of).drop("is_current")
     start = F.date_format("dbt_valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return applied.withColumnsRenamed(SNAPSHOT_NAMES).withColumn(
-        "dbt_scd_id", F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], start))
-    )
+    # As JSON, so that neither a separator within a key nor a NULL makes two keys look alike.
+    parts = F.to_json(F.array(*[F.col(k).cast("string") for k in key], start))
+    return applied.withColumnsRenamed(SNAPSHOT_NAMES).withColumn("dbt_scd_id", F.md5(parts))
 
 
 def scd2_rebuild(
@@ -218,41 +220,69 @@ def join_as_of(
     dim_key: str,
     fact_ts: str,
     *,
-    versions_per_key: int | None = None,
+    broadcast: bool | None = None,
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Inner join of each fact row with the version of its key that was valid at ``fact_ts``.
 
-    The usual key has a few versions: an equi-join on the key with the interval as a residual
-    condition, against a broadcast dimension where it is measured to fit. Keys with very many versions are taken out and matched by order (the last version that
-    began), since comparing every fact of such a key with every version would be quadratic.
+    Versions of a key must not overlap: two that do fail the job. Versions without a key or a start, and empty ones
+    (that end when they begin, or before), are never valid. Facts without a key or a time match nothing.
+
+    A dimension that is measured to be small is broadcast as one row per key with its versions in order, and each fact
+    bisects them, so facts are not shuffled. Otherwise facts and versions are brought into one order per key and
+    each fact takes the last version that began. Neither way compares a fact with every version of
+    its key, and both give the same rows. ``broadcast`` overrides the choice.
     """
-    keyed = dim.filter(F.col(dim_key).isNotNull()).withColumnRenamed(dim_key, "_dim_key")
-    many = large_groups(keyed, ["_dim_key"], versions_per_key or VERSIONS_PER_KEY)
-    at = F.col(fact_ts)
+    begins, ends = F.col("effective_from"), F.col("effective_to")
+    usable = dim.filter(F.col(dim_key).isNotNull() & begins.isNotNull() & (ends.isNull() | (begins < ends)))
+    versions = measure(usable.withColumnRenamed(dim_key, "_dim_key"))
+    if versions.small if broadcast is None else broadcast:
+        return _by_bisection(fact, versions.df, fact_key, fact_ts)
+    return _by_order(fact, versions.df, fact_key, fact_ts, rows_per_task)
 
-    def by_range(facts: DataFrame, versions: DataFrame) -> DataFrame:
-        valid = (F.col("effective_from") <= at) & (
-            F.col("effective_to").isNull() | (at < F.col("effective_to"))
-        )
-        side = F.broadcast(versions) if fits_broadcast(versions) else versions
-        return facts.join(side, (F.col(fact_key) == F.col("_dim_key")) & valid, "inner")
 
-    if not many.rows:
-        return by_range(fact, keyed).drop("_dim_key")
-    busy_dim, calm_dim = split_by_keys(keyed, ["_dim_key"], many)
-    named_as_fact = replace(many, df=many.df.withColumnRenamed("_dim_key", fact_key))
-    busy_fact, calm_fact = split_by_keys(fact, [fact_key], named_as_fact)
-    matched = _by_order(busy_fact, busy_dim, fact_key, fact_ts, rows_per_task)
-    return by_range(calm_fact, calm_dim).drop("_dim_key").unionByName(matched)
+def _overlap(key: Column) -> Column:
+    return F.raise_error(F.concat_ws("|", F.lit("overlapping versions of one key"), key))
+
+
+def _by_bisection(facts: DataFrame, versions: DataFrame, fact_key: str, fact_ts: str) -> DataFrame:
+    row = F.struct(*[c for c in versions.columns if c != "_dim_key"])
+
+    def earlier_first(a: Column, b: Column) -> Column:
+        return F.when(a["effective_from"] < b["effective_from"], -1).when(a["effective_from"] > b["effective_from"], 1).otherwise(0)
+
+    def reaches_next(n: Column) -> Column:
+        end, following = F.get("_versions", n)["effective_to"], F.get("_versions", n + 1)["effective_from"]
+        return end.isNull() | (end > following)
+
+    per_key = versions.groupBy("_dim_key").agg(F.array_sort(F.collect_list(row), earlier_first).alias("_versions"))
+    pairs = F.filter(F.sequence(F.lit(0), F.size("_versions") - 1), lambda n: n < F.size("_versions") - 1)
+    per_key = settle(
+        per_key.filter(F.when(F.exists(pairs, reaches_next), _overlap(F.col("_dim_key"))).otherwise(F.lit(True))).withColumn(
+            "_starts", F.transform("_versions", lambda v: v["effective_from"])
+        )
+    )
+    most = per_key.agg(F.max(F.size("_starts"))).first()[0] or 0
+    nth = bounds_up_to(F.col(fact_ts), F.col("_starts"), most)
+    joined = facts.join(F.broadcast(per_key), F.col(fact_key) == F.col("_dim_key"))
+    hit = joined.select(*facts.columns, F.get("_versions", nth - 1).alias("_valid"))
+    ends = F.col("_valid.effective_to")
+    hit = hit.filter(F.col("_valid").isNotNull() & (ends.isNull() | (F.col(fact_ts) < ends)))
+    return hit.select(*facts.columns, "_valid.*")
 
 
 def _by_order(
     facts: DataFrame, versions: DataFrame, fact_key: str, fact_ts: str, rows_per_task: int | None
 ) -> DataFrame:
+    in_order = OrderedGroups(versions, ["_dim_key"], ["effective_from", "effective_to"], rows_per_task)
+    following = in_order.neighbour(in_order.rows, F.struct("effective_from"), "_next", following=True)
+    clash = F.col("_next").isNotNull() & (
+        F.col("effective_to").isNull() | (F.col("effective_to") > F.col("_next.effective_from"))
+    )
+    versions = in_order.done(following.filter(F.when(clash, _overlap(F.col("_dim_key"))).otherwise(F.lit(True))).drop("_next"))
     fact_row = F.struct(*facts.columns)
     dim_row = F.struct(*[c for c in versions.columns if c != "_dim_key"])
-    known = facts.filter(F.col(fact_ts).isNotNull())
+    known = facts.filter(F.col(fact_ts).isNotNull() & F.col(fact_key).isNotNull())
     started = versions.select(
         F.col("_dim_key").alias("_k"),
         F.col("effective_from").alias("_at"),

@@ -10,7 +10,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tierworks.sources.files import FILES_AT_ONCE
-from tierworks.sources.listing import arrow_file, parquet_files
+from tierworks.plans.workspace import settle
+from tierworks.sources.listing import arrow_file, exists, parquet_files
+
+# Where a stream sink keeps its commits, and a pattern for everything else in its folder.
+COMMIT_LOG = "_spark_metadata"
+ANY_CHILD = "[!_.]*"
 
 FOOTER_SCHEMA = (
     "path string, row_group int, column string, codec string, encodings string, "
@@ -30,15 +35,21 @@ LAYOUTS = {
 
 
 def file_inventory(spark: SparkSession, path: str, small_bytes: int = 32 * 1024 * 1024) -> DataFrame:
-    """``file_path``, ``file_bytes``, ``records``, ``is_small`` per data file.
+    """``file_path``, ``file_bytes``, ``records``, ``is_small`` per data file; files without rows have 0 records.
 
     No data column is read, so the scan touches footers only.
     """
-    return (
+    counts = (
         spark.read.parquet(path)
-        .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_bytes"))
-        .groupBy("file_path", "file_bytes")
-        .agg(F.count(F.lit(1)).alias("records"))
+        .select(F.col("_metadata.file_path").alias("file_path"))
+        .groupBy("file_path")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return (
+        parquet_files(spark, path)
+        .select(F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_bytes"))
+        .join(counts, "file_path", "left")
+        .select("file_path", "file_bytes", F.coalesce("n", F.lit(0)).alias("records"))
         .withColumn("is_small", F.col("file_bytes") < small_bytes)
     )
 
@@ -71,18 +82,19 @@ def batch_history(spark: SparkSession, path: str, batch_col: str) -> DataFrame:
 
 
 def orphan_files(spark: SparkSession, path: str, older_than_days: int, now: datetime | Column) -> DataFrame:
-    """Data files in a stream sink's folder that no commit names and that are older than N days.
+    """Data files below a stream sink's folder that no commit names and that are older than N days.
 
-    Loading the folder lists what the sink committed; loading it by pattern lists what is there.
-    A report only: nothing is deleted.
+    Loading the folder lists what the sink committed; loading it by pattern, all levels included, lists what is
+    there. A folder without a commit log cannot tell which files count, and is an error. A report only:
+    nothing is deleted.
     """
-
-    def listing(where: str) -> DataFrame:
-        return spark.read.format("binaryFile").load(where).select("path", "length", "modificationTime")
-
+    root = path.rstrip("/")
+    if not exists(spark, f"{root}/{COMMIT_LOG}"):
+        raise ValueError(f"{path} has no {COMMIT_LOG}: only a stream sink's folder names its committed files")
     moment = now if isinstance(now, Column) else F.lit(now)
-    there = listing(f"{path.rstrip('/')}/*.parquet")
-    return there.join(listing(path).select("path"), "path", "left_anti").filter(
+    committed = spark.read.format("binaryFile").load(root).select("path")
+    there = parquet_files(spark, f"{root}/{ANY_CHILD}")
+    return there.join(committed, "path", "left_anti").filter(
         F.col("modificationTime") < moment - F.make_dt_interval(F.lit(older_than_days))
     )
 
@@ -125,8 +137,9 @@ def write_variant(df: DataFrame, path: str, variant: str) -> None:
 
 def layout_report(spark: SparkSession, df: DataFrame, base: str) -> DataFrame:
     """Write ``df`` below ``base`` in each layout; the column storage of all, with ``variant``."""
+    rows = settle(df)  # all variants hold the same rows
     for variant in LAYOUTS:
-        write_variant(df, f"{base}/{variant}", variant)
+        write_variant(rows, f"{base}/{variant}", variant)
     reports = [
         column_storage(spark, parquet_files(spark, f"{base}/{v}")).withColumn("variant", F.lit(v))
         for v in LAYOUTS

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tierworks.functions import MONEY, exact, newest_first, sortable
+from tierworks.functions import exact, newest_first, sortable
 from tierworks.plans.sizing import join_per_group
 from tierworks.plans.skew import OrderedGroups, by_group_size
 
@@ -60,12 +60,13 @@ def group_max_and_delta(
     *,
     max_name: str = "group_max",
     delta_name: str = "delta_from_avg",
-    sum_type: str | None = MONEY,
+    sum_type: str | None = None,
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Add the group's maximum and the distance from its average to each row; no rows collapse.
 
-    Large groups are aggregated and the few results broadcast, so their rows are not shuffled.
+    Large groups are aggregated and the few results broadcast, so their rows are not shuffled. ``sum_type`` (such as
+    ``MONEY``) makes the average of floating values independent of row order, at that type's precision.
     """
     amount = exact(df, measure, sum_type)
     group = Window.partitionBy(*part)
@@ -90,12 +91,13 @@ def running_total(
     measure: str,
     *,
     name: str = "running_total",
-    sum_type: str | None = MONEY,
+    sum_type: str | None = None,
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Sum of ``measure`` from the first row of the group to this one (ROWS frame, NULLs last).
 
-    ``order`` must be unique within a group; see :class:`OrderedGroups` for large groups.
+    ``order`` must be unique within a group; see :class:`OrderedGroups` for large groups. Values are added as they are;
+    ``sum_type`` (such as ``MONEY``) adds floating values as that decimal.
     """
     ordered = OrderedGroups(df, part, order, rows_per_task)
     summed = ordered.running_sum(ordered.rows, exact(df, measure, sum_type), name)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tierworks.plans.workspace import settle
 
@@ -34,12 +34,29 @@ class Measured:
         return F.broadcast(self.df) if self.small else self.df
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: 8 bytes a value, and the bytes of text, binary and nested values."""
+
+    def width(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return 8 + F.coalesce(F.octet_length(value), F.lit(0))
+        if isinstance(kind, T.StructType):
+            return reduce(lambda a, b: a + b, [width(value[f.name], f.dataType) for f in kind.fields], F.lit(8))
+        if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            return 16 + 8 * F.coalesce(F.size(value), F.lit(0))
+        if isinstance(kind, (T.ArrayType, T.MapType, T.VariantType)):
+            return 16 + 2 * F.coalesce(F.octet_length(F.to_json(F.struct(value.alias("v")))), F.lit(0))
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, [width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields], F.lit(16))
+
+
 def measure(df: DataFrame) -> Measured:
     seen = Observation()
     watched = df.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
-        F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
+        F.sum(row_bytes(df)).alias("bytes"),
     )
     kept = settle(watched)
     return Measured(kept, int(seen.get["rows"]), int(seen.get["bytes"] or 0))
@@ -71,5 +88,4 @@ def fits_broadcast(df: DataFrame) -> bool:
     """
     if df.count() > BROADCAST_ROWS:
         return False
-    width = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    return (df.agg(width.alias("bytes")).first()["bytes"] or 0) <= BROADCAST_BYTES
+    return (df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0) <= BROADCAST_BYTES

@@ -82,7 +82,7 @@ def _point(order: list[str]) -> Column:
     return F.struct(*[part for pair in pairs for part in pair])
 
 
-def _bounds_up_to(point: Column, bounds: Column, most: int) -> Column:
+def bounds_up_to(point: Column, bounds: Column, most: int) -> Column:
     """How many of the sorted ``bounds`` (``most`` at the most) are not above ``point``.
 
     Bisection by falling powers of two: a step is taken when the bound it would reach is not above the
@@ -141,7 +141,7 @@ class OrderedGroups:
             on = F.pmod(F.xxhash64(*self.order), F.lit(1)) == F.col("_of")
         side = F.broadcast(side) if bounds.small else side
         large = F.col("_bounds").isNotNull()
-        cell = F.when(large, _bounds_up_to(_point(self.order), F.col("_bounds"), most)).otherwise(F.lit(0))
+        cell = F.when(large, bounds_up_to(_point(self.order), F.col("_bounds"), most)).otherwise(F.lit(0))
         joined = df.join(side, on, "left").withColumns({CELL: cell, LARGE: large})
         return joined.drop("_bounds", *names)
 

@@ -13,8 +13,17 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.checkpoint.compress": "true",
+    # Settled tables go once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Many small partitions to begin with; adaptive execution joins them to this size, but cannot split those of a window.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Keys of long watermarks live on local disk instead of the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+#: On a cluster; 128 MB each of a shuffle of about 1 TB.
+INITIAL_PARTITIONS = "8192"
+
 
 def session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     """Build or get a session. Keyword names use ``__`` for dots: ``spark__ui__enabled="false"``."""
@@ -23,6 +32,8 @@ def session(app: str, master: str | None = None, **extra: str) -> SparkSession:
         builder = builder.master(master)
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
+    if not (master or "").startswith("local"):
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", INITIAL_PARTITIONS)
     for name, value in extra.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()

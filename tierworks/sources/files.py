@@ -10,8 +10,9 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tierworks.plans.sizing import join_per_group
 from tierworks.plans.workspace import settle
 from tierworks.sources.listing import arrow_file, arrow_readable, entries, exists
 
@@ -91,49 +92,71 @@ def csv_headers(spark: SparkSession, source: Source) -> DataFrame:
     # Stores that pyarrow cannot open: let Spark read the first block of each file as lines.
     lines = spark.read.option("pathGlobFilter", GLOBS["csv"]).text(source.path).select(
         "value",
-        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"),
+        scanned_path().alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("nth"),
     )
     first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "nth").alias("line"))
-    return first.select("path", F.split(F.regexp_replace("line", '"', ""), ",").alias("header"))
+    fields = F.regexp_extract_all(F.concat(F.lit(","), "line"), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), 1)
+    bare = F.transform(fields, lambda f: F.replace(F.regexp_replace(f, r'(?s)^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))
+    return first.select("path", bare.alias("header"))
 
 
-def _unique(names: list[str]) -> list[str]:
-    return [n if names.count(n) == 1 else f"{n}{i}" for i, n in enumerate(names)]
+def scanned_path() -> Column:
+    """The path of a row's file, written as a listing writes it."""
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
 
 
-def read_csv_files(spark: SparkSession, source: Source) -> DataFrame:
+def column_names(header: list[str]) -> list[str]:
+    """Names of a header's columns: an empty one after its position, repeats (in any case) with their position added."""
+    folded = [n.lower() for n in header]
+    names: list[str] = []
+    for i, name in enumerate(header):
+        own = f"_c{i}" if not name else f"{name}{i}" if folded.count(name.lower()) > 1 else name
+        while own.lower() in {n.lower() for n in names}:
+            own += "_"
+        names.append(own)
+    return names
+
+
+def read_csv_files(spark: SparkSession, source: Source, multi_line: bool = False) -> DataFrame:
     """Header CSV files with every column STRING, matched by column name across files.
 
     Spark binds CSV columns by position, which would mix up files whose header order differs. The
-    headers are therefore compared first, on the cluster. Where all agree, the folder is read as it is.
-    Otherwise files are grouped by header, each group is read with its own schema, and the groups are
-    joined by name; a column that a file lacks is NULL for its rows.
+    headers are therefore compared first, on the cluster; only the distinct ones reach the driver. Where all
+    agree, the folder is read as it is. Otherwise it is read once by position, each row learns its file's header
+    from a join on the file's path, and names take their values from there; a column that a file lacks is NULL
+    for its rows. Names follow one rule however many files there are, see :func:`column_names`; names of several
+    files meet in any case. ``multi_line`` reads line breaks within quotes as part of a value.
     """
-    reader = spark.read.option("header", True)
-    whole = reader.option("pathGlobFilter", GLOBS["csv"])
-    if source.csv_files == 1:
-        return whole.csv(source.path)
-    headers = settle(csv_headers(spark, source).filter(F.size("header") > 0))
-    known = [tuple(row["header"]) for row in headers.select("header").distinct().collect()]
+    reader = spark.read.option("header", True).option("pathGlobFilter", GLOBS["csv"]).option("multiLine", multi_line)
+    headers = settle(
+        csv_headers(spark, source)
+        .filter(F.size("header") > 0)
+        .select("path", "header", F.xxhash64("header").alias("kind"))
+    )
+    known = sorted((list(r["header"]), r["kind"]) for r in headers.select("header", "kind").distinct().collect())
     if not known:
-        return whole.csv(source.path)
+        return reader.csv(source.path)
+    if len(known) == 1:
+        return reader.schema(_texts(column_names(known[0][0]))).csv(source.path)
+    if len({kind for _, kind in known}) < len(known):
+        raise ValueError(f"two headers in {source.path} have one fingerprint")
+    places = _texts([f"_p{i}" for i in range(max(len(header) for header, _ in known))])
+    rows = reader.schema(places).csv(source.path).withColumn("_file", scanned_path())
+    joined = join_per_group(rows, headers.select(F.col("path").alias("_file"), "kind"), ["_file"])
+    values: dict[str, tuple[str, Column | None]] = {}
+    for header, kind in known:
+        for i, name in enumerate(column_names(header)):
+            shown, chain = values.get(name.lower(), (name, None))
+            when = F.when if chain is None else chain.when
+            values[name.lower()] = (shown, when(F.col("kind") == kind, F.col(f"_p{i}")))
+    return joined.select(*[chain.alias(name) for name, chain in values.values()])
 
-    def schema(header: tuple[str, ...]) -> T.StructType:
-        return T.StructType([T.StructField(c, T.StringType()) for c in _unique(list(header))])
 
-    if len(known) == 1:
-        return whole.schema(schema(known[0])).csv(source.path)
-    # The reader takes the files of a group by name.
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.collect():
-        groups.setdefault(tuple(row["header"]), []).append(row["path"])
-    parts = [
-        spark.read.option("header", True).schema(schema(header)).csv(sorted(paths))
-        for header, paths in sorted(groups.items())
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+def _texts(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
 def read_json_files(
@@ -148,11 +171,11 @@ def read_json_files(
     return reader.option("primitivesAsString", as_strings).json(source.path)
 
 
-def read_csv_source(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_source(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     source = source_at(spark, path)
     if not source.csv_files:
         raise FileNotFoundError(f"no CSV files in {path}")
-    return read_csv_files(spark, source)
+    return read_csv_files(spark, source, multi_line)
 
 
 def read_json_source(

@@ -38,7 +38,7 @@ def entries(spark: SparkSession, path: str) -> Iterator[Entry]:
 
 
 def parquet_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path``, ``length``, ``modificationTime`` of all Parquet files below ``path``.
+    """``path``, ``length``, ``modificationTime`` and ``_metadata`` of all Parquet files below ``path``.
 
     A listing only: the content column is not selected, so no file is opened.
     """
@@ -47,7 +47,7 @@ def parquet_files(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(path)
-        .select("path", "length", "modificationTime")
+        .select("path", "length", "modificationTime", "_metadata")
     )
 
 
