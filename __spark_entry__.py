@@ -7,6 +7,7 @@ billing, HR and web-event sources (see FIXTURES.md).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,7 +17,7 @@ from tierworks.operators.aggregates import batch_audit, revenue_by, rows_by, wit
 from tierworks.operators.benchmark import benchmark_summary, medians_by
 from tierworks.operators.conform import conform, stringify
 from tierworks.operators.contract import CONTRACT, contract_check, contract_projection, with_contract
-from tierworks.operators.landing import land_batch, land_bronze
+from tierworks.operators.landing import full_refresh, land_batch, land_bronze, publish, read_version, versions
 from tierworks.operators.maintenance import compact, repartition_table, retain
 from tierworks.operators.scd2 import (
     first_versions,
@@ -40,6 +41,7 @@ from tierworks.operators.windows import (
     top_per_group,
 )
 from tierworks.plans.workspace import scratch_path, settle
+from tierworks.sources.catalog import ensure_namespace, list_tables, resolve
 from tierworks.streaming.events import parse_events, stream_append, stream_dedupe, stream_source
 
 KEY, TRACKED = ["id"], ["segment", "region"]
@@ -349,6 +351,38 @@ def _raw_json(spark: SparkSession, sf_dir: str) -> str:
     return raw
 
 
+def landed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landing itself reports: the rows of each source."""
+    return land_bronze(spark, _raw_json(spark, sf_dir), scratch_path(spark, "bronze"))
+
+
+def partitioned_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "partitioned")
+    full_refresh(table(spark, sf_dir, "orders"), out, ["o_orderstatus"])
+    return spark.read.parquet(out).select(*table(spark, sf_dir, "orders").columns)
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables landed by name: the namespace lists them, and they are read by their names."""
+    space = f"lake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {space} LOCATION '{scratch_path(spark, space)}'")
+    ensure_namespace(spark, space)
+    for name in ("customer", "orders"):
+        full_refresh(table(spark, sf_dir, name), f"{space}.{name}")
+    counts = [df.agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("n")) for n, df in resolve(spark, {n: f"{space}.{n}" for n in ("customer", "orders")}).items()]
+    return settle(list_tables(spark, space).select("table").join(counts[0].unionByName(counts[1]), "table"))
+
+
+def first_version_of_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension as it was before its second batch was published."""
+    root = scratch_path(spark, "published")
+    first = first_versions(customers(spark, sf_dir), KEY, at(BATCH_1))
+    publish(first, root, ["region"])
+    publish(scd2_apply(read_version(spark, root, 1), second_batch(customers(spark, sf_dir)), KEY, TRACKED, at(BATCH_2)), root, ["region"])
+    assert len(versions(spark, root)) == 2
+    return read_version(spark, root, 1).select("id", "name", "segment", "region", "is_current")
+
+
 def land_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = _landed(spark, _raw_json(spark, sf_dir), "web_events")
     return conform(landed, {"ts": "timestamp_ntz"})[0]
@@ -566,6 +600,10 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_projection": lambda s, d: contract_projection(stamped_events(s, d), 3),
         "contract_check": contract_of_tables,
         "land_csv": land_csv,
+        "landed_sources": landed_sources,
+        "partitioned_refresh": partitioned_refresh,
+        "catalog_tables": catalog_tables,
+        "first_version_of_dimension": first_version_of_dimension,
         "land_json": land_json,
         "land_json_strings": land_json_strings,
         "parse_events": props_parsed,
@@ -794,6 +832,13 @@ UNION ALL
 SELECT 'web_events', '',
        count(*) FILTER (WHERE ts IS NULL OR event_type IS NULL OR event_type = 'error') FROM events""",
         "land_csv": _ORDERS,
+        "landed_sources": "SELECT 'web_events' AS source, count(*) AS rows FROM events",
+        "partitioned_refresh": _ORDERS,
+        "catalog_tables": """
+SELECT 'customer' AS "table", count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders""",
+        "first_version_of_dimension": """
+SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, r_name AS region, true AS is_current
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
         "land_json": _EVENTS,
         "land_json_strings": _EVENTS,
         "parse_events": "SELECT CAST(props->>'k' AS BIGINT) AS k FROM events",

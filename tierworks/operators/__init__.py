@@ -3,11 +3,13 @@ from tierworks.operators.benchmark import benchmark_summary, medians_by
 from tierworks.operators.conform import conform, stringify
 from tierworks.operators.contract import contract_check, contract_projection, with_contract
 from tierworks.operators.landing import (
+    expire_versions,
     full_refresh,
     land_batch,
     land_bronze,
     publish,
     read_latest,
+    read_version,
     timed_landing,
 )
 from tierworks.operators.maintenance import compact, repartition_table, retain

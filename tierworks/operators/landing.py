@@ -5,14 +5,14 @@ from __future__ import annotations
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tierworks.operators.contract import with_contract
 from tierworks.sources.catalog import ensure_namespace, is_path
 from tierworks.sources.files import Source, discover_sources, read_source
-from tierworks.sources.listing import entries, exists, parquet_files
+from tierworks.sources.listing import delete_folder, entries, exists, modified, parquet_files
 from tierworks.sources.runs import RUN_SCHEMA
 
 PARALLEL_SOURCES = 4
@@ -57,6 +57,45 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(known[-1]) if known else None
 
 
+def version_number(path: str) -> int:
+    return int(path.rstrip("/").rsplit("=", 1)[-1])
+
+
+def version_times(spark: SparkSession, root: str) -> list[tuple[int, str, datetime]]:
+    """(number, path, when it was completed) of the complete versions, oldest first."""
+    return [(version_number(p), p, modified(spark, f"{p}/_SUCCESS")) for p in versions(spark, root)]
+
+
+def read_version(
+    spark: SparkSession, root: str, number: int | None = None, as_of: datetime | None = None
+) -> DataFrame | None:
+    """A table as its version ``number`` was, or as it was at ``as_of``; None where no such version is.
+
+    ``as_of`` (with a zone, else read as UTC) takes the last version that was complete by then.
+    """
+    if (number is None) == (as_of is None):
+        raise ValueError("give either a number or a time")
+    if as_of is not None and as_of.tzinfo is None:
+        as_of = as_of.replace(tzinfo=timezone.utc)
+    found = [p for n, p, at in version_times(spark, root) if (n == number if as_of is None else at <= as_of)]
+    return spark.read.parquet(found[-1]) if found else None
+
+
+def expire_versions(
+    spark: SparkSession, root: str, keep: int = 1, older_than_days: float = 0, now: datetime | None = None, apply: bool = False
+) -> list[str]:
+    """Paths of the versions that are neither among the newest ``keep`` nor younger than ``older_than_days``.
+
+    A report, unless ``apply`` is set: then these versions are deleted. The newest version always stays.
+    """
+    before = (now or datetime.now(timezone.utc)) - timedelta(days=older_than_days)
+    old = version_times(spark, root)[: -max(1, keep)]
+    paths = [path for _, path, at in old if at <= before]
+    for path in paths if apply else ():
+        delete_folder(spark, path)
+    return paths
+
+
 def publish(
     df: DataFrame,
     root: str,
@@ -69,7 +108,7 @@ def publish(
     overwritten, and a version counts only once it is complete. One writer at a time.
     """
     known = versions(df.sparkSession, root)
-    last = int(known[-1].rsplit("=", 1)[-1]) if known else 0
+    last = version_number(known[-1]) if known else 0
     path = f"{root.rstrip('/')}/version={last + 1:012d}"
     full_refresh(df, path, partition_by, rebalance=rebalance)
     return path

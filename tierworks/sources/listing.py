@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def modified(spark: SparkSession, path: str) -> datetime:
+    """When a file was last written."""
+    fs, place = _file_system(spark, path)
+    return datetime.fromtimestamp(fs.getFileStatus(place).getModificationTime() / 1000, timezone.utc)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
 def entries(spark: SparkSession, path: str) -> Iterator[Entry]:
     """Direct children of a folder in name order, without hidden and marker files."""
     fs, place = _file_system(spark, path)
