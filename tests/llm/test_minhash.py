@@ -1,0 +1,149 @@
+import collections
+import random
+
+import numpy as np
+import pytest
+from conftest_llm import DOCS, WORD, lower, prose
+from pyspark.sql import functions as F
+
+from tierworks.llm import minhash as M
+from tierworks.llm.components import components
+
+
+def sets_of(texts, size):
+    out = {}
+    for k, text in texts.items():
+        words = WORD.findall(lower(text))
+        whole = {tuple(words)} if words else set()
+        out[k] = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if len(words) >= size else whole
+    return out
+
+
+def brute(texts, size):
+    sets, root = sets_of(texts, size), {k: k for k in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = collections.defaultdict(list)
+    for k, own in sets.items():
+        for s in own:
+            holders[s].append(k)
+    for a, own in sets.items():
+        for b, shared in collections.Counter(x for s in own for x in holders[s] if x < a).items():
+            if 100 * shared >= 80 * (len(own) + len(sets[b]) - shared):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {k: (len(sets[k]), find(k)) for k in texts}
+
+
+def near_copies(rng, n, words, edits):
+    base = prose(rng, words).split()
+    for _ in range(n):
+        own = list(base)
+        for at in rng.sample(range(words), edits):
+            own[at] = "".join(rng.choices("abcdefgh", k=6))
+        yield " ".join(own)
+
+
+def check(spark, texts, size):
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = M.near_duplicates(df, size).collect()
+    want = brute(texts, size)
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.n_shingles, r.component_id) == want[r.id]
+        assert r.kept == (r.id == r.component_id)
+
+
+def test_corpus(spark, corpus):
+    check(spark, {r[0]: r[1] for r in corpus}, 4)
+
+
+def test_group_whose_members_are_not_all_alike(spark, monkeypatch):
+    """Copies around the limit: leaders, support and the open pairs all have something to do."""
+    monkeypatch.setattr(M, "OPEN_PER_MEMBER", 0.01)
+    monkeypatch.setattr(M, "MOST_LEADERS", 4)
+    rng = random.Random(8)
+    texts = [t for edits in (1, 3, 5, 6, 8, 12) for t in near_copies(rng, 10, 160, edits)]
+    same = random.Random(9)
+    for edits in (2, 4, 6):
+        texts += list(near_copies(random.Random(10), 1, 150, 0)) + list(near_copies(same, 8, 150, edits))
+    texts += texts[:5] + ["", None, "a b c d e", "a b c d e f", "a b c d e f g", "x a b c d e f g"]
+    rng.shuffle(texts)
+    check(spark, dict(enumerate(texts)), 4)
+
+
+def test_small_sets(spark):
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(14)]
+    texts = []
+    for n in range(1, 14):
+        texts += [" ".join(base[:n]), " ".join(base[1 : n + 1])]
+    texts += [" ".join(rng.sample(base, 6)) for _ in range(20)]
+    check(spark, dict(enumerate(texts)), 4)
+    check(spark, dict(enumerate(texts)), 5)
+
+
+def test_keep_one(spark, corpus, docs, empty):
+    want = {k for k, (_, root) in brute({r[0]: r[1] for r in corpus}, 5).items() if k == root}
+    assert {r.doc_id for r in M.keep_one(docs).collect()} == want
+    assert M.keep_one(empty).count() == 0 and M.keep_one(docs).columns == docs.columns
+
+
+def test_null_and_repeated_keys(spark, corpus):
+    rows = [*corpus, *corpus[:3], (None, corpus[0][1], None, None, None), (None, None, None, None, None), (5, "other words than before " * 9, "en", "s", 1)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("kept", F.lit("clash"))
+    judged = M.near_duplicates(df).collect()
+    assert len(judged) == len(rows)
+    assert all(r.kept and r.component_id is None for r in judged if r.id is None)
+    left = M.keep_one(df).collect()
+    ids = [r.doc_id for r in left if r.doc_id is not None]
+    assert len(ids) == len(set(ids)) and sum(r.doc_id is None for r in left) == 2
+
+
+def test_estimates_follow_similarity():
+    rng = np.random.default_rng(1)
+    for share in (0.5, 0.8, 0.95):
+        errors = []
+        for _ in range(20):
+            both = rng.integers(0, 1 << 63, 2000).astype(np.uint64)
+            shared = int(2000 * share)
+            rest = (2000 - shared) // 2
+            a, b = both[: shared + rest], np.concatenate((both[:shared], both[shared + rest :]))
+            got = M.estimate(M.registers_of(a)[None], M.registers_of(b)[None], np.array([len(a)]), np.array([len(b)]))[0]
+            errors.append(got - shared / 2000)
+        assert abs(np.mean(errors)) < 0.03
+
+
+def test_bands_find_pairs_at_the_limit():
+    rng, missed = np.random.default_rng(2), 0
+    for n in (10, 50, 500):
+        for _ in range(200):
+            common = rng.integers(0, 1 << 63, int(n * 0.8)).astype(np.uint64)
+            own = rng.integers(0, 1 << 63, n - len(common)).astype(np.uint64)
+            a, b = (M.registers_of(np.unique(x)).reshape(M.BANDS, M.ROWS) for x in (common, np.concatenate((common, own))))
+            missed += not (a == b).all(axis=1).any()
+    assert missed == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(40)] + [(100 + k, 101 + k) for k in range(30)] + [(7, 7), (None, 3)]
+    root = {x: x for pair in links for x in pair if x is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a is not None:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    linked = {x for a, b in links if a is not None and a != b for x in (a, b)}
+    assert got == {x: find(x) for x in linked}
