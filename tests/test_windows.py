@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
+from tierworks.functions import MONEY
 from tierworks.operators.aggregates import batch_audit, revenue_by, rows_by, with_rank_and_share
 from tierworks.operators.benchmark import medians_by
 from tierworks.operators.windows import (
@@ -49,7 +50,7 @@ def test_running_total(skewed, rows, part):
     order = [F.col("moment").asc_nulls_last(), F.col("id").asc_nulls_last()]
     window = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     want = skewed.withColumn("running_total", F.sum(F.col("x").cast("decimal(18,2)")).over(window).cast("double"))
-    got = running_total(skewed, part, ["moment", "id"], "x", rows_per_task=rows)
+    got = running_total(skewed, part, ["moment", "id"], "x", rows_per_task=rows, sum_type=MONEY)
     assert rows_of(got, *want.columns) == rows_of(want)
 
 
@@ -98,7 +99,7 @@ def test_group_max_and_delta(skewed, rows):
     window = Window.partitionBy("part")
     average = F.sum(F.col("x").cast("decimal(18,2)")).over(window).cast("double") / F.count("x").over(window)
     want = skewed.withColumn("group_max", F.max("x").over(window)).withColumn("delta_from_avg", F.col("x") - average)
-    got = group_max_and_delta(skewed, ["part"], "x", rows_per_task=rows)
+    got = group_max_and_delta(skewed, ["part"], "x", rows_per_task=rows, sum_type=MONEY)
     assert rows_of(got, *want.columns) == rows_of(want)
 
 
@@ -120,7 +121,7 @@ def test_medians(skewed, rows):
 def test_rank_and_share(skewed, one_task):
     df = skewed.select("id", "x")
     want = df.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.col("x").desc_nulls_last())))
-    got = with_rank_and_share(df, "x", one_task_rows=one_task)
+    got = with_rank_and_share(df, "x", one_task_rows=one_task, sum_type=MONEY)
     assert rows_of(got, "id", "revenue_rank") == rows_of(want, "id", "revenue_rank")
     assert abs(got.agg(F.sum("revenue_share")).first()[0] - 1) < 1e-6
 
