@@ -82,23 +82,12 @@ def _small(df: DataFrame, rules: DataFrame) -> DataFrame:
 
 def pattern_matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``url, blocked, allowed``: distinct urls that a pattern rule fits. NULL urls fit none."""
-    index = rule_index(urls, rules)
-    indexed = index.filter(F.col("token").isNotNull()).select("token", "regex", "verdict")
-    always = index.filter(F.col("token").isNull()).agg(F.collect_list(F.struct("verdict", "regex")).alias("always"))
-    by_token = (
-        urls.select("url", F.explode(tokens_of(F.col("url"))).alias("token"))
-        .join(_small(indexed, rules), "token")
-        .filter(F.expr("lower(url) rlike regex"))
-        .select("url", "verdict")
-    )
-    # Rules without a usable token are one row: a list of rules, tried on each url.
-    rest = (
-        urls.join(F.broadcast(always))
-        .select("url", F.explode(F.filter("always", lambda r: F.rlike(F.lower("url"), r["regex"]))).alias("rule"))
-        .select("url", "rule.verdict")
-    )
+    # Rules without a usable token stand under the empty one, which every url has besides its own.
+    index = rule_index(urls, rules).select(F.coalesce("token", F.lit("")).alias("token"), "regex", "verdict")
     return (
-        by_token.unionAll(rest)
+        urls.select("url", F.explode(F.array_append(tokens_of(F.col("url")), F.lit(""))).alias("token"))
+        .join(_small(index, rules), "token")
+        .filter(F.expr("lower(url) rlike regex"))
         .groupBy("url")
         .agg(F.bool_or(F.col("verdict") == "block").alias("blocked"), F.bool_or(F.col("verdict") == "allow").alias("allowed"))
     )
