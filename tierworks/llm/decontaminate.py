@@ -125,6 +125,8 @@ class Matcher:
         self.least = int(lengths.min()) if len(lengths) else WINDOW
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.vocabulary):
+            return np.full(len(hashes), -1)
         at = np.searchsorted(self.vocabulary, hashes)
         at[at == len(self.vocabulary)] = 0
         return np.where(self.vocabulary[at] == hashes, at, -1)
