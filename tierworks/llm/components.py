@@ -7,6 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from tierworks.plans.workspace import settle
 
 
+#: A table of so many rows or fewer is worked on in one piece, which needs no shuffle.
+ROWS_IN_A_PIECE = 200_000
+
+
+def pieces(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have about ``rows`` rows, in as many pieces as these are worth."""
+    return df.coalesce(1 + rows // ROWS_IN_A_PIECE)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that each node of ``links`` (``a, b``: longs) reaches.
 
@@ -20,21 +29,22 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        edges = pieces(edges, seen[0])
         if seen == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
                 edges.select("b", "b").distinct()
             )
         before = seen
-        edges = settle(_small_star(_large_star(edges)))
+        edges = settle(_small_star(pieces(_large_star(edges, seen[0]), seen[0]), seen[0]))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select("b", "a"))
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
+    both = pieces(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select("b", "a")), rows)
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     hung = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return hung.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
+    return pieces(hung.unionAll(least.select("a", F.col("m").alias("b"))), rows).distinct()

@@ -40,9 +40,9 @@ from tierworks.llm import arrays
 from tierworks.llm.arrays import U64
 from tierworks.plans.workspace import scratch_path, settle
 
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 #: Requests of about so many words or pairs meet in a part.
-PART_KEYS = 1 << 21
+PART_KEYS = 1 << 20
 DISCOUNTED = 5
 BASE_ADDED = 0.1
 END = np.uint64(1)  # stands for the end token among word fingerprints

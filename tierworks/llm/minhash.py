@@ -8,10 +8,11 @@ their own that is the same for all texts.
 Texts of one set are one class, found by a 128-bit digest, and only classes go on. ``BANDS`` keys of
 ``ROWS`` registers each make candidates: at similarity 0.8 all bands miss with probability (1 - 0.8^4)^32 =
 5e-8. Within a bucket no pairs are made up front: all members are compared with one leader (the member in the
-fullest buckets). A bucket whose members have become one component is settled, whatever pairs it holds. Others
-get further leaders, and in the end the pairs between different components of a bucket, which are the ones
-still open. Candidates are cut by size and by the estimate (``SIGMAS`` standard errors below the limit) and
-then verified on full sets. Nothing is capped.
+fullest buckets), which then leaves the bucket. A bucket whose members have become one component is settled,
+whatever pairs it holds. Others get further leaders; members leave that have too many shingles of their own for
+any link; and in the end come the pairs between different components of a bucket, which are the ones still
+open. Candidates are cut by size and by the estimate (``SIGMAS`` standard errors below the limit) and then
+verified on full sets. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tierworks.llm import arrays
 from tierworks.llm.arrays import U64
-from tierworks.llm.components import components
+from tierworks.llm.components import components, pieces
 from tierworks.plans.workspace import settle
 
 BANDS, ROWS = 32, 4
@@ -35,9 +36,13 @@ MANTISSA, VALUE_BITS = 10, 53
 PERCENT = 80
 SIGMAS = 7
 #: Leaders are tried while the open pairs are more than so many for each member of an open bucket.
-OPEN_PER_MEMBER, MOST_LEADERS = 16, 8
+OPEN_PER_MEMBER, MOST_LEADERS, ROUNDS_BEFORE_SUPPORT = 4, 8, 2
 #: Up to so many ids (8 bytes each) are broadcast to pick texts; beyond, texts are shuffled.
 BROADCAST_IDS = 500_000
+#: Up to so many pairs (with registers 300 bytes each) are broadcast to the classes; beyond, both are shuffled.
+BROADCAST_PAIRS = 50_000
+#: So many pairs are verified in a task.
+PAIRS_IN_A_TASK = 2_000
 
 
 def shingle_sets(block: arrays.Block, size: int) -> list[np.ndarray]:
@@ -116,10 +121,16 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that sizes and estimates leave open. Small sets are judged by size only."""
+    """Those of the settled ``pairs`` (``a, b``) that sizes and estimates leave open. Small sets are judged by size only."""
     left = classes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
     right = classes.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
-    sized = pairs.join(left, "a").join(right, "b").filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+    n = pairs.count()
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if n <= BROADCAST_PAIRS else df
+
+    both = right.join(small(left.join(small(pairs), "a")), "b")
+    sized = both.filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
     least = PERCENT / 100 - SIGMAS * (PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS) ** 0.5
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,14 +152,15 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar; ``texts`` has ``id, text`` of all classes."""
     pairs = settle(pairs)
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
-    if pairs.isEmpty():
+    n = pairs.count()
+    if not n:
         return pairs
+    pairs = pieces(pairs, n)
+    ids = settle(pieces(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")), n).distinct())
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     wanted = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").distinct()
-    both = pairs.join(wanted.select(F.col("id").alias("b"), F.col("text").alias("text")), "b").join(
-        wanted.select(F.col("id").alias("a"), F.col("text").alias("leader")), "a"
-    )
+    own = wanted.select(F.col("id").alias("b"), "text").join(F.broadcast(pairs) if n <= BROADCAST_PAIRS else pairs, "b")
+    both = own.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("leader")), "a")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, leader = None, None
@@ -164,7 +176,8 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([rows["a"].filter(mask), b.filter(mask)], ["a", "b"])
 
-    return both.select("a", "b", "text", "leader").mapInArrow(verify, "a long, b long")
+    work = both.select("a", "b", "text", "leader").coalesce(1 + n // PAIRS_IN_A_TASK)
+    return settle(work.mapInArrow(verify, "a long, b long"))
 
 
 def link_classes(classes: DataFrame, texts: DataFrame, size: int, given: DataFrame) -> DataFrame:
@@ -183,39 +196,75 @@ def link_classes(classes: DataFrame, texts: DataFrame, size: int, given: DataFra
     roots, tried = settle(components(given)), 0
     rows = members.withColumn("comp", F.col("id"))
     while True:
-        open_pairs, open_members = _open(rows)
+        rows, open_pairs, open_members = _open(rows)
+        if open_pairs and tried == ROUNDS_BEFORE_SUPPORT:
+            rows, open_pairs, open_members = _open(rows.join(_supported(rows, classes, texts, size), "id", "left_semi"))
         if not open_pairs:
-            break
-        last = tried >= MOST_LEADERS or (tried and open_pairs <= OPEN_PER_MEMBER * open_members)
-        pairs = _between_components(rows) if last else _with_leaders(rows, tried)
+            return roots
+        last = tried >= MOST_LEADERS or (tried >= ROUNDS_BEFORE_SUPPORT and open_pairs <= OPEN_PER_MEMBER * open_members)
+        if last:
+            pairs = settle(_between_components(rows))
+        else:
+            led = pieces(settle(_with_leaders(rows, open_members)), open_members)
+            pairs = settle(pieces(led.filter("comp <> leading").select("a", F.col("id").alias("b")), open_members).distinct())
         found = verified(likely(pairs, classes), texts, size)
-        roots = settle(components(found.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+        known = roots.count() + found.count()
+        links = found.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = pieces(settle(components(pieces(links, known))), known)
         if last:
-            break
+            return roots
         tried += 1
-        rows = settle(
-            members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-                "bucket", "id", "degree", F.coalesce("root", "id").alias("comp")
-            )
-        )
-        rows = rows.join(rows.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1"), "bucket", "left_semi")
-    return roots
+        # All pairs of a leader within its bucket are decided now, so it leaves the bucket.
+        others = led.filter("id <> a").select("bucket", "id", "degree")
+        placed = pieces(others.join(roots.withColumnRenamed("node", "id"), "id", "left"), open_members)
+        rows = placed.select("bucket", "id", "degree", F.coalesce("root", "id").alias("comp"))
 
 
-def _open(rows: DataFrame) -> tuple[int, int]:
-    """How many pairs of members are in different components, and how many members their buckets have."""
+def _open(rows: DataFrame) -> tuple[DataFrame, int, int]:
+    """The members of buckets that hold several components (settled), their open pairs, and their number."""
     by_comp = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     by_bucket = by_comp.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
-    pairs, members = by_bucket.filter("n * n > within").agg(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2), F.sum("n")).first()
-    return int(pairs or 0), int(members or 0)
+    several = settle(by_bucket.filter("n * n > within"))
+    pairs, members = several.agg(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2), F.sum("n")).first()
+    several = pieces(several.select("bucket"), members or 0)
+    kept = settle(pieces(rows.join(several, "bucket", "left_semi"), members or 0))
+    return pieces(kept, members or 0), int(pairs or 0), int(members or 0)
+
+
+def _supported(rows: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Ids of open members of whose shingles enough stand in other open members too, for any link to be possible.
+
+    A link needs ``PERCENT`` per cent of a set's shingles to be shared, and partners that are still sought are open
+    members. A shingle that one member alone has is counted for it.
+    """
+    ids = rows.select("id").distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in arrays.blocks(batches):
+            sets = shingle_sets(block, size)
+            id_of = np.repeat(block.rows.column(0).to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(id_of), pa.array(np.concatenate(sets).view(np.int64))], ["id", "shingle"])
+
+    held = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", "text").distinct()
+    shingles = held.mapInArrow(spread, "id long, shingle long")
+    alone = (
+        shingles.groupBy("shingle")
+        .agg(F.min("id").alias("id"), F.max("id").alias("other"))
+        .filter("id = other")
+        .groupBy("id")
+        .agg(F.count("*").alias("alone"))
+    )
+    counted = ids.join(classes.groupBy("id").agg(F.max("n").alias("n")), "id").join(alone, "id", "left")
+    return counted.filter(100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= PERCENT * F.col("n")).select("id")
 
 
-def _with_leaders(rows: DataFrame, tried: int) -> DataFrame:
-    """Each member of a bucket with the bucket's leader: the fullest first, then by chance."""
-    rank = F.col("degree") if not tried else F.xxhash64("bucket", "id", F.lit(tried))
+def _with_leaders(rows: DataFrame, n: int) -> DataFrame:
+    """Each of ``n`` members of buckets with the bucket's leader: the one whose buckets are the fullest."""
+    rank = F.col("degree")
     leaders = rows.groupBy("bucket").agg(F.max(F.struct(rank.alias("r"), F.col("id").alias("id"), F.col("comp").alias("comp"))).alias("l"))
-    paired = rows.join(leaders.select("bucket", F.col("l.id").alias("a"), F.col("l.comp").alias("leading")), "bucket")
-    return paired.filter("comp <> leading").select("a", F.col("id").alias("b")).distinct()
+    leaders = leaders.select("bucket", F.col("l.id").alias("a"), F.col("l.comp").alias("leading"))
+    return pieces(rows.join(pieces(leaders, n), "bucket"), n)
 
 
 def _between_components(rows: DataFrame) -> DataFrame:

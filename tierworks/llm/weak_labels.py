@@ -24,7 +24,7 @@ from tierworks.llm import arrays, quality_rules
 from tierworks.llm.arrays import U64
 from tierworks.plans.workspace import settle
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 4_000
 #: A stem is listed when it stands in so many toxic texts of the sample, once or twice each, and nearly only there; bytes of the stems.
 STEM_TEXTS, STEM_PRECISION, STEM_LIST = 6, 0.9, 2_000
 STEMS = (4, 6, 1 << 20)
@@ -102,30 +102,35 @@ def _word_set(words: tuple[str, ...]) -> np.ndarray:
     return np.sort(arrays.span_hashes(joined, ends - [len(w) for w in words], ends))
 
 
-def listed_stems(texts: list[str | None], toxic: np.ndarray) -> Lists:
-    """For each of ``STEMS`` the sorted fingerprints that stand in labelled toxic texts and hardly in others, and after
-    them those of which this holds for texts with two such words."""
-    held: list[list[np.ndarray]] = [[] for _ in STEMS]
-    at = 0
-    for block in arrays.blocks(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])])):
-        hashes, first = _hashes(block)
-        text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        for k, own in enumerate(hashes):
-            order = np.lexsort((own, text_of))
-            stem, text = own[order], text_of[order]
-            fresh = np.flatnonzero(np.append(True, (stem[1:] != stem[:-1]) | (text[1:] != text[:-1]))[: len(stem)])
-            times = np.diff(np.append(fresh, len(stem)))
-            held[k].append(np.stack([stem[fresh], toxic[at + text[fresh]].astype(U64), times.astype(U64)]))
-        at += len(first) - 1
+def listed_stems(labelled: DataFrame) -> Lists:
+    """For each of ``STEMS`` the sorted fingerprints that stand in toxic texts of ``labelled`` (``text, label_toxic``) and
+    hardly in others, and after them those of which this holds for texts with two such words."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in arrays.blocks(batches):
+            hashes, first = _hashes(block)
+            text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            toxic = block.rows.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for k, own in enumerate(hashes):
+                order = np.lexsort((own, text_of))
+                stem, text = own[order], text_of[order]
+                fresh = np.flatnonzero(np.append(True, (stem[1:] != stem[:-1]) | (text[1:] != text[:-1]))[: len(stem)])
+                times = np.diff(np.append(fresh, len(stem)))
+                columns = [np.full(len(fresh), k), stem[fresh].view(np.int64), toxic[text[fresh]], times]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k", "stem", "toxic", "times"])
+
+    rows = labelled.select("text", F.col("label_toxic").cast("long")).mapInArrow(spread, "k long, stem long, toxic long, times long")
     out = []
     for least in (1, 2):
-        for parts in held:
-            cells = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0), U64)
-            cells = cells[:, cells[2] >= least]
-            stems, places = np.unique(cells[0], return_inverse=True)
-            bad = np.bincount(places, cells[1].astype(float), len(stems))
-            sure = (bad >= STEM_TEXTS) & (bad >= STEM_PRECISION * np.bincount(places, minlength=len(stems)))
-            out.append(np.sort(stems[np.flatnonzero(sure)[np.argsort(-bad[sure], kind="stable")[:STEM_LIST]]]))
+        sure = (
+            rows.filter(F.col("times") >= least)
+            .groupBy("k", "stem")
+            .agg(F.sum("toxic").alias("bad"), F.count("*").alias("all"))
+            .filter((F.col("bad") >= STEM_TEXTS) & (F.col("bad") >= STEM_PRECISION * F.col("all")))
+        )
+        for k in range(len(STEMS)):
+            best = sure.filter(F.col("k") == k).orderBy(F.desc("bad"), "stem").limit(STEM_LIST).select("stem")
+            out.append(np.sort(np.array([r[0] for r in best.collect()], np.int64).view(U64)))
     return tuple(out)
 
 
@@ -265,10 +270,7 @@ def fit(df: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", tex
     if missing:
         others = docs.join(few, "id", "left_anti").orderBy(F.xxhash64("id", "text")).limit(missing)
         sample = settle(sample.unionByName(others, allowMissingColumns=True))
-    local = sample.toPandas()
-    toxic = (local["label_toxic"] == 1).to_numpy(bool)
-    named = local["label_toxic"].notna().to_numpy(bool)
-    lists = listed_stems(local["text"][named].tolist(), toxic[named])
+    lists = listed_stems(sample.filter("label_toxic IS NOT NULL"))
 
     def votes(rows: DataFrame) -> DataFrame:
         return rows.select("*", *(F.array(*own.values()).alias(head) for head, own in voted.items()))
@@ -290,10 +292,10 @@ def fit(df: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", tex
 
 
 def _features_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0
+    parts, at = [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32))], 0
     for block in arrays.blocks(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])])):
         rows, cols, values = block_features(block)
-        parts.append((rows + at, cols, values))
+        parts.append(((rows + at).astype(np.int32), cols.astype(np.int32), values.astype(np.float32)))
         at += len(block.bounds) - 1
     rows, cols, values = (np.concatenate(x) for x in zip(*parts, strict=True))
     return rows, cols, values
