@@ -28,7 +28,7 @@ from tierworks.llm.arrays import U64
 #: Bytes from which a word is encoded as a tree, and the bytes of its leaves.
 LONG_RUN, LEAF = 256, 128
 #: Words kept by a worker; beyond, it starts anew.
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 1 << 19
 #: Characters of a text that the library gets at once.
 PIECE_CHARS = 1 << 18
 

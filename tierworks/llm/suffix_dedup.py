@@ -38,7 +38,7 @@ GRAM = 16
 #: Up to so many spans (24 bytes each) are broadcast to the texts; beyond, texts are shuffled.
 BROADCAST_SPANS = 1_000_000
 #: Positions of a text that are worked on at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def widths(length: int) -> tuple[int, int, int]:
