@@ -7,6 +7,7 @@ billing, HR and web-event sources (see FIXTURES.md).
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -548,12 +549,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def text_queries():
     """The module of the text operators' queries; None where that package is not installed."""
-    try:
-        from tierworks.llm import queries as text
-    except ModuleNotFoundError as missing:
-        if missing.name != "tierworks.llm":
-            raise
+    found = importlib.util.find_spec("tierworks.llm")
+    if found is None or found.origin is None:  # an empty folder has no origin
         return None
+    from tierworks.llm import queries as text
+
     return text
 
 
