@@ -57,6 +57,18 @@ def test_pool_starts_anew_when_full(library, monkeypatch):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_text_with_more_words_than_the_pool_holds(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 1 << 10)
+    own = bpe.Encoder(tokenizer_path())
+    rng = random.Random(4)
+    long = " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(5000))
+    texts = ["a b", long, "", long[:9000] + " end"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    ids, bounds = own.encode(arrays.Block(None, data, np.cumsum([0, *map(len, texts)])))
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_rows_and_columns(spark, docs, library):
     odd = docs.withColumn("ids", F.lit(1)).withColumn("decoded", F.lit("x"))
     rows = bpe.with_ids(odd, tokenizer_path(), decoded=True).collect()

@@ -239,10 +239,15 @@ class Encoder:
             begin, end = begin[keep], end[keep]
         hashes = arrays.span_hashes(low, begin, end)
         hashes[hashes == 0] = 1
-        found = self._known(hashes, low, begin, end)
-        lengths = self.pool.lengths[found]
-        ids = gather(self.pool.ids, self.pool.starts[found], lengths)
-        per_word = np.concatenate(([0], np.cumsum(lengths)))
+        # A slice of so many words has no more distinct ones than an empty pool holds.
+        parts, sizes = [], []
+        for k in range(0, max(len(begin), 1), KEPT_WORDS):
+            own = slice(k, k + KEPT_WORDS)
+            found = self._known(hashes[own], low, begin[own], end[own])
+            sizes.append(self.pool.lengths[found])
+            parts.append(gather(self.pool.ids, self.pool.starts[found], sizes[-1]))
+        ids = np.concatenate(parts)
+        per_word = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
         first = np.searchsorted(begin, bounds)
         return ids, np.diff(per_word[first])
 
@@ -260,6 +265,7 @@ class Encoder:
                     starts[q + size] = True
 
     def _known(self, hashes: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Word numbers of up to ``KEPT_WORDS`` words in the pool; what it does not hold yet is encoded."""
         found = self.pool.find(hashes)
         missing = np.flatnonzero(found < 0)
         if not len(missing):
