@@ -76,6 +76,27 @@ def test_group_whose_members_are_not_all_alike(spark, monkeypatch):
     check(spark, dict(enumerate(texts)), 4)
 
 
+def test_ids_with_several_texts_in_open_buckets(spark, monkeypatch):
+    """What one text of an id has alone is not charged to its other texts."""
+    monkeypatch.setattr(M, "OPEN_PER_MEMBER", 0.01)
+    monkeypatch.setattr(M, "MOST_LEADERS", 3)
+    rng = random.Random(21)
+    texts = [t for edits in (3, 5, 6, 8) for t in near_copies(rng, 8, 160, edits)]
+    same = random.Random(22)
+    for edits in (2, 4, 5, 6):
+        texts += list(near_copies(random.Random(23), 1, 150, 0)) + list(near_copies(same, 12, 150, edits))
+    rows = [(k, t) for k, t in enumerate(texts)]
+    rows += [(k, " ".join("".join(rng.choices("ijklmnop", k=7)) for _ in range(rng.randint(20, 400)))) for k in range(len(texts)) if k % 4]
+    whole = brute(dict(enumerate(t for _, t in rows)), 4)
+    first = {}
+    for n, (k, _) in enumerate(rows):
+        first.setdefault(whole[n][1], k)
+        assert n < len(texts) or whole[n][1] == n
+    judged = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert len(judged) == len(rows)
+    assert {r.id: r.component_id for r in judged} == {k: first[whole[k][1]] for k in range(len(texts))}
+
+
 def test_small_sets(spark):
     rng = random.Random(12)
     base = [f"w{k}" for k in range(14)]

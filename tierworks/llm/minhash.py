@@ -160,13 +160,14 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     wanted = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").distinct()
     own = wanted.select(F.col("id").alias("b"), "text").join(F.broadcast(pairs) if n <= BROADCAST_PAIRS else pairs, "b")
-    both = own.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("leader")), "a")
+    both = own.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("leader"), F.xxhash64("text").alias("leading")), "a")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, leader = None, None
         for block in arrays.blocks(batches):
             rows = dict(zip(block.rows.schema.names, block.rows.columns, strict=True))
-            a, b, keep = rows["a"].to_pylist(), rows["b"], []
+            # An id may have several texts.
+            a, b, keep = list(zip(rows["a"].to_pylist(), rows["leading"].to_pylist(), strict=True)), rows["b"], []
             for k, own in enumerate(shingle_sets(block, size)):
                 if a[k] != last:
                     data = np.frombuffer((rows["leader"][k].as_py() or "").encode(), np.uint8)
@@ -176,7 +177,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([rows["a"].filter(mask), b.filter(mask)], ["a", "b"])
 
-    work = both.select("a", "b", "text", "leader").coalesce(1 + n // PAIRS_IN_A_TASK)
+    work = both.select("a", "b", "text", "leader", "leading").coalesce(1 + n // PAIRS_IN_A_TASK)
     return settle(work.mapInArrow(verify, "a long, b long"))
 
 
@@ -198,7 +199,7 @@ def link_classes(classes: DataFrame, texts: DataFrame, size: int, given: DataFra
     while True:
         rows, open_pairs, open_members = _open(rows)
         if open_pairs and tried == ROUNDS_BEFORE_SUPPORT:
-            rows, open_pairs, open_members = _open(rows.join(_supported(rows, classes, texts, size), "id", "left_semi"))
+            rows, open_pairs, open_members = _open(rows.join(_supported(rows, texts, size), "id", "left_semi"))
         if not open_pairs:
             return roots
         last = tried >= MOST_LEADERS or (tried >= ROUNDS_BEFORE_SUPPORT and open_pairs <= OPEN_PER_MEMBER * open_members)
@@ -231,11 +232,12 @@ def _open(rows: DataFrame) -> tuple[DataFrame, int, int]:
     return pieces(kept, members or 0), int(pairs or 0), int(members or 0)
 
 
-def _supported(rows: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _supported(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Ids of open members of whose shingles enough stand in other open members too, for any link to be possible.
 
-    A link needs ``PERCENT`` per cent of a set's shingles to be shared, and partners that are still sought are open
-    members. A shingle that one member alone has is counted for it.
+    A link needs ``PERCENT`` per cent of a text's shingles to be shared, and partners that are still sought are open
+    members. A shingle that one text alone has is counted for it. An id may have several texts, each of which is
+    judged by its own shingles; one that may be linked keeps the id.
     """
     ids = rows.select("id").distinct()
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
@@ -243,20 +245,27 @@ def _supported(rows: DataFrame, classes: DataFrame, texts: DataFrame, size: int)
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in arrays.blocks(batches):
             sets = shingle_sets(block, size)
-            id_of = np.repeat(block.rows.column(0).to_numpy(), [len(x) for x in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(id_of), pa.array(np.concatenate(sets).view(np.int64))], ["id", "shingle"])
+            counts = [len(x) for x in sets]
+            id_of, owner_of = (np.repeat(block.rows.column(k).to_numpy(), counts) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(id_of), pa.array(owner_of), pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.zeros(len(id_of), np.int64))],
+                ["id", "owner", "shingle", "n"],
+            )
+            # One row more for each text, under a name of its own: the size of its set.
+            id_of, owner_of = (block.rows.column(k) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([id_of, owner_of, owner_of, pa.array(counts, pa.int64())], ["id", "owner", "shingle", "n"])
 
-    held = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", "text").distinct()
-    shingles = held.mapInArrow(spread, "id long, shingle long")
+    held = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").distinct()
+    held = held.select("id", F.xxhash64("id", "text").alias("owner"), "text")
+    shingles = held.mapInArrow(spread, "id long, owner long, shingle long, n long")
     alone = (
         shingles.groupBy("shingle")
-        .agg(F.min("id").alias("id"), F.max("id").alias("other"))
-        .filter("id = other")
-        .groupBy("id")
-        .agg(F.count("*").alias("alone"))
+        .agg(F.max("id").alias("id"), F.min("owner").alias("owner"), F.max("owner").alias("other"), F.max("n").alias("n"))
+        .filter("owner = other")
+        .groupBy("id", "owner")
+        .agg(F.max("n").alias("n"), (F.count("*") - 1).alias("alone"))
     )
-    counted = ids.join(classes.groupBy("id").agg(F.max("n").alias("n")), "id").join(alone, "id", "left")
-    return counted.filter(100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= PERCENT * F.col("n")).select("id")
+    return alone.filter("n > 0").filter(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")).select("id").distinct()
 
 
 def _with_leaders(rows: DataFrame, n: int) -> DataFrame:
