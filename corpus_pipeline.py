@@ -12,6 +12,9 @@ from tierworks.llm import bpe, decontaminate as items, minhash, quality_rules as
 from tierworks.llm.queries import tokenizer_path
 from tierworks.plans.workspace import scratch_path
 
+#: Words of the shortest passage that counts as repeated; text without white space is judged by bytes alone.
+PASSAGE_WORDS = 51
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes and more that stand twice, cut out; documents of which no word is left go."""
-    return with_sizes(suffix_dedup.deduplicated(docs))
+    """Passages of over 50 words, or of 400 bytes and more, that stand twice, cut out; documents of which no word is left go."""
+    return with_sizes(suffix_dedup.deduplicated(docs, words=PASSAGE_WORDS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 import hashlib
+import random
 
 import corpus_pipeline as P
 import pytest
-from conftest_llm import DOCS
+from conftest_llm import DOCS, prose
 from oracle import connect, differences
 from test_bpe import library  # noqa: F401
 
@@ -47,3 +48,18 @@ def test_odd_documents(spark, rows):
 
 def test_stages_follow_the_order_of_the_contract():
     assert [n for n, _ in P.STAGES] == ["quality_rules", "near_duplicates", "repeated_passages", "decontamination", "encoding"]
+
+
+def test_passages_of_over_50_words_go(spark):
+    rng = random.Random(51)
+    passage, fifty = ("".join(rng.choices("abcdefgh", k=4)) for _ in range(51)), ("".join(rng.choices("abcdefgh", k=4)) for _ in range(50))
+    passage, fifty = list(passage), list(fifty)
+    own = [f"x{k} {prose(rng, 80)} y{k}" for k in range(12)]
+    spread = [" ".join(passage), "\n".join(passage), "  ".join(passage)]
+    texts = [f"{own[2 * k]} {spread[k]} {own[2 * k + 1]}" for k in range(3)]
+    texts += [f"{own[2 * k]} {' '.join(fifty)} {own[2 * k + 1]}" for k in range(3, 5)]
+    texts += ["日本語" * 60 + "一", "二" + "日本語" * 60, own[10], own[10], " ".join(passage[:50])]
+    docs = spark.createDataFrame([(k, t, None, None, len(t)) for k, t in enumerate(texts)], DOCS)
+    left = {r.doc_id: r.text for r in P.repeated_passages(spark, docs, SF_DIR).collect()}
+    want = {k: f"{own[2 * k]}  {own[2 * k + 1]}" for k in range(3)} | {k: texts[k] for k in (3, 4, 9)} | {5: "一", 6: "二"}
+    assert left == want

@@ -63,6 +63,14 @@ def parts(data: np.ndarray, length: int) -> Iterator[tuple[int, int, int, np.nda
         yield at, to, at - low, data[low : to + length + 2 * wide]
 
 
+def symbols(block: arrays.Block, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """What a block's texts are made of, bytes or fingerprints of words, and where each text starts (and the end)."""
+    if not words:
+        return block.data, block.bounds
+    found = arrays.words(block.data, block.bounds, arrays.NOT_SPACE)
+    return arrays.span_hashes(block.data, found.starts, found.ends), found.first
+
+
 def samples(hashes: np.ndarray, width: int) -> np.ndarray:
     """Positions whose hash is the least of some ``width`` neighbouring ones; ``width`` is a power of two."""
     least, step = hashes, 1
@@ -136,16 +144,17 @@ def place_id() -> Column:
     return F.xxhash64("t1", "t2", "first")
 
 
-def _names(texts: DataFrame, width: int, length: int, within: bool) -> DataFrame:
+def _names(texts: DataFrame, width: int, length: int, within: bool, words: bool) -> DataFrame:
     """Blocks of ``texts`` (``t1, t2, text`` and, with ``within``, ``ranges``: only blocks that meet one of them)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in arrays.blocks(batches):
             t1, t2 = (block.rows.column(block.rows.schema.get_field_index(c)).to_numpy() for c in ("t1", "t2"))
             ranges = block.rows.column(block.rows.schema.get_field_index("ranges")) if within else None
+            data, bounds = symbols(block, words)
             parts, sizes = [], []
             for k in range(block.rows.num_rows):
-                first, last, core, span = text_blocks(block.data[block.bounds[k] : block.bounds[k + 1]], width, length)
+                first, last, core, span = text_blocks(data[bounds[k] : bounds[k + 1]], width, length)
                 if within and len(first):
                     low, high = _ranges(ranges[k])
                     at = np.searchsorted(high, first)  # the first range that ends at or behind the block's start
@@ -178,18 +187,18 @@ def _joined(texts: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
     return texts.join(F.broadcast(ranges) if _few(ranges) else ranges, ["t1", "t2"], how)
 
 
-def repeated_starts(texts: DataFrame, length: int) -> DataFrame:
+def repeated_starts(texts: DataFrame, length: int, words: bool = False) -> DataFrame:
     """``t1, t2, ranges`` of positions in distinct texts whose string also starts elsewhere; ``texts``: ``t1, t2, text``.
 
-    Copies of a text count as one here.
+    Positions and ``length`` are in bytes, or in ``words`` between white space. Copies of a text count as one here.
     """
     wide_width, narrow_width, _ = widths(length)
-    wide = _names(texts, wide_width, length, False)
+    wide = _names(texts, wide_width, length, False, words)
     again = _again(wide.select("core", place_id().alias("id")), "core")
     left = stored(_collected(wide.select("t1", "t2", "first", "last", "core").join(again, "core", "left_semi")), "ranges")
     held = stored(_joined(texts, left, "inner").dropDuplicates(["t1", "t2"]), "texts")
 
-    narrow = stored(_names(held, narrow_width, length, True), "blocks")
+    narrow = stored(_names(held, narrow_width, length, True, words), "blocks")
     spans = narrow.select("span", place_id().alias("id")).groupBy("span").agg(F.min("id").alias("s0"), F.max("id").alias("s1"))
     marked = stored(
         narrow.join(spans, "span").select(
@@ -204,7 +213,7 @@ def repeated_starts(texts: DataFrame, length: int) -> DataFrame:
         .filter("c0 <> c1 AND open")
     )
     open_blocks = stored(_collected(ones.join(open_cores, "core", "left_semi")), "open")
-    strings = stored(_strings(held.drop("ranges"), open_blocks, length), "strings")
+    strings = stored(_strings(held.drop("ranges"), open_blocks, length, words), "strings")
     equal = _again(strings.select("name", place_id().alias("id")), "name")
     single = strings.join(equal, "name", "left_semi").select("t1", "t2", "first", F.col("first").alias("last"))
     return _collected(marked.filter("decided").select("t1", "t2", "first", "last").unionAll(single))
@@ -215,55 +224,82 @@ def _again(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy(name).agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select(name)
 
 
-def _strings(held: DataFrame, open_blocks: DataFrame, length: int) -> DataFrame:
+def _strings(held: DataFrame, open_blocks: DataFrame, length: int, words: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in arrays.blocks(batches):
             t1, t2 = (block.rows.column(block.rows.schema.get_field_index(c)).to_numpy() for c in ("t1", "t2"))
             ranges = block.rows.column(block.rows.schema.get_field_index("ranges"))
+            data, bounds = symbols(block, words)
             for k in range(block.rows.num_rows):
-                place, name = string_names(block.data[block.bounds[k] : block.bounds[k + 1]], *_ranges(ranges[k]), length)
+                place, name = string_names(data[bounds[k] : bounds[k + 1]], *_ranges(ranges[k]), length)
                 columns = [np.full(len(place), t1[k]), np.full(len(place), t2[k]), place, name.view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["t1", "t2", "first", "name"])
 
     return _joined(held, open_blocks, "inner").mapInArrow(work, "t1 long, t2 long, first long, name long")
 
 
-def without_repeats(df: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
+def _starts(texts: DataFrame, length: int, words: bool) -> DataFrame:
+    """The same with copies: of a text that several rows hold, all positions (the last one may lie behind the text's)."""
+    every = F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("size").alias("last")))
+    copies = (
+        texts.groupBy("t1", "t2")
+        .agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("size"))
+        .filter("n > 1")
+        .select("t1", "t2", every.alias("ranges"))
+    )
+    found = repeated_starts(texts, length, words).unionByName(copies)
+    return stored(found.groupBy("t1", "t2").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "starts")
+
+
+def _spans(cell: pa.Scalar, size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last position of what goes from a text of ``size`` bytes or words."""
+    first, last = _ranges(cell) if cell.is_valid else (np.zeros(0, np.int64),) * 2
+    last = np.minimum(last, size - length)
+    own = first <= last
+    return first[own], last[own] + length - 1
+
+
+def without_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``df`` with ``n_bytes``, ``removed`` (ascending disjoint byte ranges, ``first`` to ``last``) and ``kept`` (binary: the rest).
 
     Judged on the texts as given, within and across rows; a text that several rows hold is a repeat of itself. All
-    occurrences go, the first included. NULL texts are empty; texts shorter than ``length`` lose nothing. Columns
-    of ``df`` with these names (or ``t1``, ``t2``) are replaced.
+    occurrences go, the first included. NULL texts are empty; texts shorter than ``length`` lose nothing. With
+    ``words``, runs of so many equal words (whatever white space stands between them) go as well, however short.
+    Columns of ``df`` with these names (or ``t1``, ``t2``) are replaced.
     """
     added = ["n_bytes", "removed", "kept"]
     rows = df.select(*(c for c in df.columns if c not in {*added, "t1", "t2"}))
     whole = F.coalesce(F.col(text), F.lit(""))
     keyed = rows.select("*", *digests(whole))
-    texts = keyed.select("t1", "t2", whole.alias("text")).filter(F.octet_length("text") >= length)
-    copies = (
-        texts.groupBy("t1", "t2")
-        .agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("size"))
-        .filter("n > 1")
-        .select("t1", "t2", F.array(F.struct(F.lit(0).cast("long").alias("first"), (F.col("size") - length).alias("last"))).alias("ranges"))
-    )
-    found = repeated_starts(texts, length).unionByName(copies)
-    starts = stored(found.groupBy("t1", "t2").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "starts")
+    texts = keyed.select("t1", "t2", whole.alias("text"))
+    starts = _starts(texts.filter(F.octet_length("text") >= length), length, False)
     names = rows.columns
-    joined = _joined(keyed, starts, "left").select(*names, F.col("ranges").alias("__ranges"))
+    joined = _joined(keyed, starts, "left").select(*names, "t1", "t2", F.col("ranges").alias("__ranges"))
+    if words:
+        runs = _starts(texts.filter(F.octet_length("text") >= 2 * words - 1), words, True)
+        joined = _joined(joined, runs, "left").select(*names, "__ranges", F.col("ranges").alias("__runs"))
+    else:
+        joined = joined.drop("t1", "t2")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         for block in arrays.blocks(batches, text):
             ranges = block.rows.column(block.rows.schema.get_field_index("__ranges"))
+            runs = block.rows.column(block.rows.schema.get_field_index("__runs")) if words else None
+            found = arrays.words(block.data, block.bounds, arrays.NOT_SPACE) if words else None
             removed, kept = [], []
             for k in range(block.rows.num_rows):
                 own = block.data[block.bounds[k] : block.bounds[k + 1]]
-                if not ranges[k].is_valid:
+                if not ranges[k].is_valid and not (words and runs[k].is_valid):
                     removed.append([])
                     kept.append(own.tobytes())
                     continue
-                first, last = _ranges(ranges[k])
-                first, last = merged(first, last + length - 1)
+                first, last = _spans(ranges[k], len(own), length)
+                if words:
+                    low, high = _spans(runs[k], found.first[k + 1] - found.first[k], words)
+                    first = np.append(first, found.starts[found.first[k] + low] - block.bounds[k])
+                    last = np.append(last, found.ends[found.first[k] + high] - 1 - block.bounds[k])
+                first, last = merged(first, last)
                 removed.append([{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)])
                 gone = np.zeros(len(own) + 1, np.int8)
                 gone[first] = 1
@@ -277,12 +313,12 @@ def without_repeats(df: DataFrame, text: str = "text", length: int = LENGTH) ->
     return joined.mapInArrow(cut, f"{schema}, n_bytes long, removed array<struct<first: long, last: long>>, kept binary")
 
 
-def deduplicated(df: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
+def deduplicated(df: DataFrame, text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``df`` with repeats cut out of its texts; characters of which a byte is gone go in whole.
 
     A text of which nothing is left becomes empty; NULL stays NULL. Columns of ``df`` stay.
     """
-    cut = without_repeats(df, text, length)
+    cut = without_repeats(df, text, length, words)
 
     @F.pandas_udf("string")
     def readable(parts):
