@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierworks.llm import bpe, decontaminate, katz, langid, minhash, quality_rules, suffix_dedup, token_files, url_filter, weak_labels
+from tierworks.llm import bpe, conv_trie, decontaminate, katz, langid, minhash, quality_rules, suffix_dedup, token_files, url_filter, weak_labels
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -120,6 +120,49 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conv_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("last_conv_id", "last_place")
+
+
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, turn FROM conversations WHERE conv_id IS NOT NULL
+),
+bits AS (
+  SELECT c, list_transform(range(0, 8 * length(c::VARCHAR)), lambda i: (ascii((c::VARCHAR)[i // 8 + 1]) >> (i % 8)) & 1) AS b
+  FROM (SELECT DISTINCT c FROM turns)
+),
+convs AS (
+  SELECT c, c - c % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, b::BIGINT[]), lambda a, bit: xor(a >> 1, (xor(a, bit) & 1) * 3988292384)), 4294967295) % 6 AS h
+  FROM bits
+),
+own AS (SELECT c, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, r, x) AS seq FROM turns GROUP BY c),
+rebuilt AS (
+  SELECT k.c, list_concat(coalesce(b.seq[1:k.h], []), o.seq[k.h + 1:]) AS seq
+  FROM convs k JOIN own o ON o.c = k.c LEFT JOIN own b ON b.c = k.base
+),
+prefixes AS (
+  SELECT c, d, len(seq) AS whole, sha256(to_json(seq[1:d])::VARCHAR) AS id, sha256(to_json(seq[1:d - 1])::VARCHAR) AS up,
+         CASE WHEN d > 0 THEN length(seq[d].x) ELSE 0 END AS n_chars, seq
+  FROM rebuilt, unnest(range(0, len(seq) + 1)) AS u(d)
+),
+nodes AS (
+  SELECT id, d, min(c) AS conv_id, count(*) AS n_convs, any_value(CASE WHEN d > 0 THEN up END) AS up, any_value(n_chars) AS n_chars,
+         any_value(seq) AS seq, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE whole = d), '')) AS ends
+  FROM prefixes GROUP BY id, d
+),
+children AS (SELECT up AS id, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON k.id = n.id AND k.d = n.d),
+below AS (
+  SELECT sha256(to_json(seq[1:a])::VARCHAR) AS id, a AS d, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * n_chars) AS saved_tokens
+  FROM counted, unnest(range(0, d + 1)) AS u(a) GROUP BY ALL
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children::BIGINT AS n_children,
+       b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM counted n JOIN below b ON b.id = n.id AND b.d = n.d LEFT JOIN nodes p ON p.id = n.up AND p.d = n.d - 1"""
+
+
 _SEP = "(?:[^a-z0-9]|^|$)"
 OP8_SQL = f"""
 WITH cut AS (
@@ -169,9 +212,10 @@ def queries() -> dict:
         "op8_url_filters": op8_url_filters,
         "op9_token_files": op9_token_files,
         "op10_repeated_strings": op10_repeated_strings,
+        "op13_conversation_trie": op13_conversation_trie,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filters": OP8_SQL}
+    return {"op8_url_filters": OP8_SQL, "op13_conversation_trie": OP13_SQL}
