@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierworks.llm import bpe, conv_trie, decontaminate, katz, langid, minhash, quality_rules, suffix_dedup, token_files, url_filter, weak_labels
+from tierworks.llm import bpe, conv_trie, decontaminate, katz, langid, minhash, pii, quality_rules, suffix_dedup, token_files, url_filter, weak_labels
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -120,6 +120,14 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: ~s["added"])
+    numbers = [pii.count_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    digest = F.sha2(pii.listed_spans(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *numbers, digest, pii.listed_spans(F.col("pii")).alias("spans"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conv_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("last_conv_id", "last_place")
 
@@ -212,6 +220,7 @@ def queries() -> dict:
         "op8_url_filters": op8_url_filters,
         "op9_token_files": op9_token_files,
         "op10_repeated_strings": op10_repeated_strings,
+        "op12_pii": op12_pii,
         "op13_conversation_trie": op13_conversation_trie,
         "pipeline": pipeline,
     }
