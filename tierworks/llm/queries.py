@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierworks.llm import bpe, conv_trie, decontaminate, katz, langid, minhash, pii, quality_rules, suffix_dedup, token_files, url_filter, weak_labels
+from tierworks.llm import bpe, conv_trie, decontaminate, katz, langid, lexical, minhash, pii, quality_rules, suffix_dedup, token_files, url_filter, weak_labels
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -120,6 +120,32 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), k=10)
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+OP11_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+lengths AS (SELECT r, doc_id, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+counts AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY ALL),
+holding AS (SELECT term, floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, corpus GROUP BY term),
+items AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+scores AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM items JOIN holding USING (term) JOIN counts USING (term) JOIN lengths USING (r), corpus GROUP BY item_id, r
+),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10"""
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: ~s["added"])
@@ -220,6 +246,7 @@ def queries() -> dict:
         "op8_url_filters": op8_url_filters,
         "op9_token_files": op9_token_files,
         "op10_repeated_strings": op10_repeated_strings,
+        "op11_lexical_search": op11_lexical_search,
         "op12_pii": op12_pii,
         "op13_conversation_trie": op13_conversation_trie,
         "pipeline": pipeline,
@@ -227,4 +254,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filters": OP8_SQL, "op13_conversation_trie": OP13_SQL}
+    return {"op8_url_filters": OP8_SQL, "op11_lexical_search": OP11_SQL, "op13_conversation_trie": OP13_SQL}
