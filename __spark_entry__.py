@@ -793,7 +793,7 @@ SELECT line, reason FROM why WHERE reason <> ''""",
 SELECT id, name, segment, region, effective_from, effective_to, is_current FROM dim""",
         "scd2_snapshot": f"""WITH {_DIM}
 SELECT id, name, segment, region, effective_from AS dbt_valid_from, effective_to AS dbt_valid_to,
-       md5(CAST(id AS VARCHAR) || '|' || strftime(effective_from, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id
+       md5('["' || CAST(id AS VARCHAR) || '","' || strftime(effective_from, '%Y-%m-%d %H:%M:%S.%f') || '"]') AS dbt_scd_id
 FROM dim""",
         "scd2_rebuild": f"""WITH {_DIM}
 SELECT id, name, segment, region, effective_from, effective_to, is_current FROM dim""",
