@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tierworks.functions import MONEY
 from tierworks.operators.aggregates import batch_audit, revenue_by, rows_by, with_rank_and_share
 from tierworks.operators.benchmark import benchmark_summary, medians_by
+from tierworks.operators.cdc import ChangedTable, fold_changes
 from tierworks.operators.conform import conform, stringify
 from tierworks.operators.contract import CONTRACT, contract_check, contract_projection, with_contract
+from tierworks.operators.dimension import StoredDimension
 from tierworks.operators.landing import full_refresh, land_batch, land_bronze, publish, read_version, versions
 from tierworks.operators.maintenance import compact, repartition_table, retain
 from tierworks.operators.scd2 import (
@@ -297,6 +299,53 @@ def priority_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_rebuild(daily, ["o_orderpriority"], ["status"], "o_orderdate", rows_per_task=500)
 
 
+def third_batch(first: DataFrame) -> DataFrame:
+    """A small one: some customers move once more, one of the vanished ones is back, and an old change is undone."""
+    some = first.filter((F.col("id") % 10 == 3) | (F.col("id") % 10 == 2) | (F.col("id") % 100 == 0))
+    return some.withColumn("segment", F.when(F.col("id") % 10 == 3, F.lit("THIRD")).otherwise(F.col("segment")))
+
+
+def dimension_after_three_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension as it is stored: only buckets with changes are rewritten, closed versions are added."""
+    stored = StoredDimension(spark, scratch_path(spark, "dimension"), KEY, TRACKED, buckets=16)
+    first = customers(spark, sf_dir)
+    for batch, as_of in ((first, BATCH_1), (second_batch(first), BATCH_2), (third_batch(first), BATCH_3)):
+        stored.apply(batch, at(as_of), batch_id=as_of)
+    return stored.read().select("id", "name", "segment", "region", "effective_from", "effective_to", "is_current")
+
+
+def order_changes(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """Orders as changes of their ``key``: inserts, deletes and updates that leave columns out; some come twice."""
+    orders, nr = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    changes = orders.select(
+        key,
+        F.when(nr % 10 == 0, "delete").when(nr % 10 <= 2, "insert").otherwise("update").alias("op"),
+        F.col("o_orderdate").alias("ts"),
+        nr.alias("nr"),
+        F.when(nr % 3 != 0, F.col("o_totalprice")).alias("price"),
+        F.when(nr % 4 == 1, F.col("o_orderpriority")).alias("priority"),
+    )
+    return changes.unionByName(changes.filter(nr % 7 == 0))
+
+
+def cdc_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fold_changes(order_changes(spark, sf_dir, "o_custkey"), ["o_custkey"], ["ts", "nr"], "op")
+
+
+def cdc_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches that overlap in time, so later ones bring changes that are older than what is stored."""
+    changes = order_changes(spark, sf_dir, "o_custkey")
+    stored = ChangedTable(spark, scratch_path(spark, "changed"), ["o_custkey"], ["ts", "nr"], "op", buckets=16)
+    for part in (2, 0, 1):
+        stored.apply(changes.filter(F.col("nr") % 3 == part))
+    return stored.read()
+
+
+def cdc_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A handful of keys that have all changes."""
+    return fold_changes(order_changes(spark, sf_dir, "o_orderstatus"), ["o_orderstatus"], ["ts", "nr"], "op")
+
+
 def invoices_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = stored_dimension(spark, sf_dir)
     joined = join_as_of(invoices(spark, sf_dir), dim, "customer_id", "id", "invoiced_at")
@@ -591,6 +640,10 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_snapshot": scd2_snapshot_two_batches,
         "scd2_rebuild": scd2_rebuilt,
         "scd2_rebuild_hot_keys": priority_history,
+        "dimension_after_three_batches": dimension_after_three_batches,
+        "cdc_applied": cdc_applied,
+        "cdc_in_batches": cdc_in_batches,
+        "cdc_hot_keys": cdc_hot_keys,
         "scd2_current": lambda s, d: scd2_current(dimension(s, d)),
         "scd2_as_of": lambda s, d: scd2_as_of(dimension(s, d), at("1997-06-01 00:00:00")),
         "join_as_of": invoices_as_of,
@@ -658,6 +711,37 @@ dim AS (
      OR b.segment IS DISTINCT FROM c.segment OR b.region IS DISTINCT FROM c.region
 )"""
 
+_DIM_3 = f"""{_DIM},
+batch3 AS (
+  SELECT id, name, CASE WHEN id % 10 = 3 THEN 'THIRD' ELSE segment END AS segment, region
+  FROM cust WHERE id % 10 IN (2, 3) OR id % 100 = 0
+),
+changed AS (
+  SELECT b.*, d.id IS NOT NULL AS known FROM batch3 b LEFT JOIN dim d ON d.id = b.id AND d.is_current
+  WHERE d.id IS NULL OR b.segment IS DISTINCT FROM d.segment OR b.region IS DISTINCT FROM d.region
+),
+dim3 AS (
+  SELECT d.id, d.name, d.segment, d.region, d.effective_from,
+         CASE WHEN c.id IS NOT NULL THEN TIMESTAMP '{BATCH_3}' ELSE d.effective_to END AS effective_to,
+         d.is_current AND c.id IS NULL AS is_current
+  FROM dim d LEFT JOIN changed c ON c.id = d.id AND d.is_current
+  UNION ALL
+  SELECT id, name, segment, region, TIMESTAMP '{BATCH_3}', NULL, true FROM changed
+)"""
+
+_FOLDED = """
+WITH changes AS (
+  SELECT {key} AS k, o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'delete' WHEN o_orderkey % 10 <= 2 THEN 'insert' ELSE 'update' END AS op,
+         CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS price, CASE WHEN o_orderkey % 4 = 1 THEN o_orderpriority END AS priority,
+         row_number() OVER (PARTITION BY {key} ORDER BY o_orderdate, o_orderkey) AS nth
+  FROM orders
+),
+resets AS (SELECT k, max(nth) AS nth, arg_max(op, nth) AS op FROM changes WHERE op <> 'update' GROUP BY k)
+SELECT c.k AS {key}, arg_max(price, c.nth) FILTER (WHERE price IS NOT NULL) AS price,
+       arg_max(priority, c.nth) FILTER (WHERE priority IS NOT NULL) AS priority
+FROM changes c LEFT JOIN resets r USING (k)
+WHERE r.nth IS NULL OR (r.op = 'insert' AND c.nth >= r.nth) GROUP BY c.k"""
+
 _MONEY = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
@@ -800,6 +884,11 @@ SELECT id, name, segment, region, effective_from, effective_to, is_current FROM
         "scd2_rebuild_hot_keys": f"""WITH {_HISTORY}
 SELECT o_orderpriority, effective_from, status, effective_to, effective_to IS NULL AS is_current
 FROM history""",
+        "dimension_after_three_batches": f"""WITH {_DIM_3}
+SELECT id, name, segment, region, effective_from, effective_to, is_current FROM dim3""",
+        "cdc_applied": _FOLDED.format(key="o_custkey"),
+        "cdc_in_batches": _FOLDED.format(key="o_custkey"),
+        "cdc_hot_keys": _FOLDED.format(key="o_orderstatus"),
         "scd2_current": f"""WITH {_DIM}
 SELECT id, name, segment, region, effective_from, effective_to, is_current FROM dim WHERE is_current""",
         "scd2_as_of": f"""WITH {_DIM}

@@ -1,7 +1,10 @@
 from tierworks.operators.aggregates import batch_audit, revenue_by, rows_by, with_rank_and_share
 from tierworks.operators.benchmark import benchmark_summary, medians_by
+from tierworks.operators.buckets import BucketedTable
+from tierworks.operators.cdc import ChangedTable, change_state, fold_changes, live_rows, merge_states, split_changes, tombstones
 from tierworks.operators.conform import conform, stringify
 from tierworks.operators.contract import contract_check, contract_projection, with_contract
+from tierworks.operators.dimension import StoredDimension
 from tierworks.operators.landing import (
     expire_versions,
     full_refresh,

@@ -39,14 +39,25 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
-def entries(spark: SparkSession, path: str) -> Iterator[Entry]:
-    """Direct children of a folder in name order, without hidden and marker files."""
+def children(spark: SparkSession, path: str) -> list[Entry]:
+    """Direct children of a folder in name order."""
     fs, place = _file_system(spark, path)
     found = [
         Entry(s.getPath().toString(), s.getPath().getName(), s.isDirectory(), s.getLen())
         for s in fs.listStatus(place)
     ]
-    return (e for e in sorted(found, key=lambda e: e.name) if e.name[0] not in "._")
+    return sorted(found, key=lambda e: e.name)
+
+
+def entries(spark: SparkSession, path: str) -> Iterator[Entry]:
+    """Direct children of a folder in name order, without hidden and marker files."""
+    return (e for e in children(spark, path) if e.name[0] not in "._")
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern names, in order."""
+    fs, place = _file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(place) or [])
 
 
 def parquet_files(spark: SparkSession, path: str) -> DataFrame:
