@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierworks.operators.dimension import StoredDimension
 from tierworks.operators.scd2 import scd2_apply
+from tierworks.sources.listing import write_text
 
 KEY, TRACKED = ["id"], ["segment", "region"]
 CUSTOMER = "id bigint, name string, segment string, region string"
@@ -45,7 +46,8 @@ def test_a_batch_id_counts_once(spark, tmp_path):
     stored = StoredDimension(spark, str(tmp_path / "d"), KEY, TRACKED)
     batch = frame(spark, [(1, "a", "smb", "na")])
     assert stored.apply(batch, day(0), "first") and not stored.apply(batch, day(1), "first")
-    assert StoredDimension(spark, str(tmp_path / "d"), KEY, TRACKED).table.batch_ids() == {"first"}
+    assert StoredDimension(spark, str(tmp_path / "d"), KEY, TRACKED).table.has("first")
+    assert not stored.table.has("second")
     assert stored.read().count() == 1
 
 
@@ -66,7 +68,11 @@ def test_a_failed_batch_leaves_the_table(spark, tmp_path):
     # Closed versions of a batch that got no further.
     spark.createDataFrame([(1, "a")], "id bigint, name string").write.parquet(f"{tmp_path}/d/closed/version={2:012d}")
     assert rows_of(StoredDimension(spark, str(tmp_path / "d"), KEY, TRACKED).read()) == before
-    stored.apply(frame(spark, [(1, "a", "x", "na")]), day(1))
+    write_text(spark, stored.table._note("lost"), "2")
+    stored.apply(frame(spark, [(1, "a", "smb", "na")]), day(1), "other")
+    assert not stored.table.has("lost") and stored.table.has("other")
+    assert rows_of(StoredDimension(spark, str(tmp_path / "d"), KEY, TRACKED).read()) == before
+    stored.apply(frame(spark, [(1, "a", "x", "na")]), day(2))
     assert stored.read().count() == 10
 
 

@@ -1,47 +1,58 @@
 """A Parquet table in buckets of its key, of which a change rewrites only those that it touches.
 
     root/data/version=<n>/_bucket=<b>/   rows of the buckets that version n rewrote
-    root/log/version=<n>/                which version holds each bucket's rows, written last
+    root/log/version=<n>.json            which version holds each bucket's rows, written last
 
-A version counts once its log is complete; what an interrupted write left behind is named nowhere. Readers see the
+A version counts once its log is there; what an interrupted write left behind is named nowhere. Readers see the
 last version, as a list of folders: no file is ever overwritten. One writer at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tierworks.operators.landing import version_number, versions
 from tierworks.plans.workspace import settle
-from tierworks.sources.listing import children, exists
+from tierworks.sources.listing import children, exists, matching, read_text, write_text
 
 BUCKET = "_bucket"
-LOG = "bucket int, held_by long, n_buckets int, rows_schema string, batch_id string"
 
 
 class BucketedTable:
     def __init__(self, spark: SparkSession, root: str, key: list[str], buckets: int = 64) -> None:
         self.spark, self.root, self.key = spark, root.rstrip("/"), list(key)
         log = self.log()
-        self.buckets = log[0]["n_buckets"] if log else buckets
+        self.buckets = log["buckets"] if log else buckets
 
-    def log(self) -> list:
-        """The last version's row for each bucket; empty before the first version. As many rows as buckets."""
-        known = versions(self.spark, f"{self.root}/log")
-        return self.spark.read.schema(LOG).parquet(known[-1]).collect() if known else []
+    def _logs(self) -> list[str]:
+        return matching(self.spark, f"{self.root}/log/version=*.json")
 
-    def batch_ids(self) -> set[str]:
-        """Batches that are in the table."""
-        known = versions(self.spark, f"{self.root}/log")
-        rows = self.spark.read.schema(LOG).parquet(*known).select("batch_id").distinct().collect() if known else []
-        return {r["batch_id"] for r in rows if r["batch_id"] is not None}
+    def log(self) -> dict | None:
+        """The last version: which version holds each bucket (those without rows are not named), and the rows' schema."""
+        known = self._logs()
+        return json.loads(read_text(self.spark, known[-1])) if known else None
+
+    def has(self, batch_id: str) -> bool:
+        """Whether a batch is in the table."""
+        name = self._note(batch_id)
+        if not exists(self.spark, name):
+            return False
+        # The note is written before the version that holds the batch, which may never have come about.
+        log = self._log(int(read_text(self.spark, name)))
+        return exists(self.spark, log) and json.loads(read_text(self.spark, log))["batch_id"] == batch_id
+
+    def _note(self, batch_id: str) -> str:
+        return f"{self.root}/log/batch-{hashlib.sha256(batch_id.encode()).hexdigest()}"
+
+    def _log(self, version: int) -> str:
+        return f"{self.root}/log/version={version:012d}.json"
 
     def last(self) -> int:
-        known = versions(self.spark, f"{self.root}/log")
-        return version_number(known[-1]) if known else 0
+        known = self._logs()
+        return int(known[-1].rsplit("=", 1)[1].split(".")[0]) if known else 0
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
@@ -55,9 +66,9 @@ class BucketedTable:
         log = self.log()
         if not log:
             return None
-        schema = T.StructType.fromJson(json.loads(log[0]["rows_schema"]))
+        schema = T.StructType.fromJson(log["schema"])
         chosen = set(range(self.buckets)) if buckets is None else set(buckets)
-        held = [(r["held_by"], r["bucket"]) for r in log if r["bucket"] in chosen and r["held_by"] is not None]
+        held = [(version, int(b)) for b, version in log["held_by"].items() if int(b) in chosen]
         if not held:
             return self.spark.createDataFrame([], schema)
         paths = [f"{self._data(version)}/{BUCKET}={bucket}" for version, bucket in sorted(held)]
@@ -75,20 +86,20 @@ class BucketedTable:
 
     def replace(self, buckets: list[int], rows: DataFrame, batch_id: str | None = None) -> int:
         """The next version: ``rows`` instead of what some buckets held, everything else as it was."""
-        log = {r["bucket"]: r["held_by"] for r in self.log()}
+        log = self.log()
+        held = {int(b): v for b, v in log["held_by"].items()} if log else {}
         number = self.last() + 1
+        filled = set()
         if buckets:
             shaped = rows.withColumn(BUCKET, self.bucket()).filter(F.col(BUCKET).isin(*buckets)).hint("rebalance", BUCKET)
             # A version that was begun and not finished is written over.
             shaped.write.mode("overwrite").partitionBy(BUCKET).parquet(self._data(number))
-        filled = set()
-        if exists(self.spark, self._data(number)) and buckets:
             filled = {int(e.path.rsplit("=", 1)[1]) for e in self._folders(number)}
-        for bucket in buckets:
-            log[bucket] = number if bucket in filled else None
-        schema = json.dumps(rows.schema.jsonValue())
-        made = [(b, log.get(b), self.buckets, schema, batch_id) for b in range(self.buckets)]
-        self.spark.createDataFrame(made, LOG).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/log/version={number:012d}")
+        held = {b: v for b, v in held.items() if b not in set(buckets)} | {b: number for b in filled}
+        if batch_id is not None:
+            write_text(self.spark, self._note(batch_id), str(number))
+        made = {"buckets": self.buckets, "held_by": held, "batch_id": batch_id, "schema": rows.schema.jsonValue()}
+        write_text(self.spark, self._log(number), json.dumps(made))
         return number
 
     def _data(self, version: int) -> str:

@@ -10,12 +10,13 @@ changed. History is neither read nor written, so what a batch costs does not gro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tierworks.operators.buckets import BucketedTable
 from tierworks.operators.landing import version_number, versions
-from tierworks.operators.scd2 import _moment, scd2_apply, split_null_keys
+from tierworks.operators.scd2 import _moment, scd2_apply
 from tierworks.plans.workspace import settle
+from tierworks.sources.listing import delete_folder
 
 
 class StoredDimension:
@@ -31,24 +32,35 @@ class StoredDimension:
         Rows without a whole key are kept below ``rejected``. A key that occurs twice in the batch, and an ``as_of`` that is not
         after the start of a version it would close, fail the job and leave the table as it was.
         """
-        if batch_id is not None and batch_id in self.table.batch_ids():
+        if batch_id is not None and self.table.has(batch_id):
             return False
-        usable, rejected = split_null_keys(incoming, self.key)
-        usable = settle(usable)
+        number = self.table.last() + 1
+        for name in ("closed", "rejected"):  # of a batch that was begun and not finished
+            delete_folder(self.spark, f"{self.root}/{name}/version={number:012d}")
+        seen = Observation()
+        whole = F.lit(True)
+        for name in self.key:
+            whole = whole & F.col(name).isNotNull()
+        held = settle(incoming.observe(seen, F.count_if(~whole).alias("broken")))
+        if seen.get["broken"]:
+            self._add("rejected", number, held.filter(~whole))
+        usable = held.filter(whole)
         standing = self.table.read(self.table.touched(usable))
         at = _moment(as_of)
         if standing is not None:
             at = at.cast(standing.schema["effective_from"].dataType)
         after = settle(scd2_apply(standing, usable, self.key, self.tracked, at))
-        closed = after.filter(~F.col("is_current"))
-        opened = after.filter(F.col("is_current") & (F.col("effective_from") == at))
-        changed = self.table.touched(closed.select(*self.key).unionByName(opened.select(*self.key)))
-        number = self.table.last() + 1
-        for name, rows in (("closed", closed), ("rejected", rejected)):
-            rows.write.mode("overwrite").parquet(f"{self.root}/{name}/version={number:012d}")
-        self.table.replace(changed, after.filter("is_current"), batch_id)
+        opened = F.col("is_current") & (F.col("effective_from") == at)
+        counts = after.groupBy(self.table.bucket().alias("bucket")).agg(F.count_if(~F.col("is_current")).alias("closed"), F.count_if(opened).alias("opened"))
+        changed = counts.filter("closed + opened > 0").collect()  # a row for each bucket at the most
+        if any(r["closed"] for r in changed):
+            self._add("closed", number, after.filter(~F.col("is_current")))
+        self.table.replace([r["bucket"] for r in changed], after.filter("is_current"), batch_id)
         return True
 
+    def _add(self, name: str, number: int, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/version={number:012d}")
+
     def current(self) -> DataFrame | None:
         return self.table.read()
 
@@ -68,5 +80,5 @@ class StoredDimension:
 
     def read(self) -> DataFrame | None:
         """All versions, closed and current; None before the first batch."""
-        current = self.current()
-        return None if current is None else current.unionByName(self.closed(), allowMissingColumns=True)
+        current, closed = self.current(), self.closed()
+        return current if closed is None else current.unionByName(closed, allowMissingColumns=True)

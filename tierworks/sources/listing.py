@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -54,6 +55,28 @@ def entries(spark: SparkSession, path: str) -> Iterator[Entry]:
     return (e for e in children(spark, path) if e.name[0] not in "._")
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all: written beside, then renamed over what was there."""
+    fs, place = _file_system(spark, path)
+    beside = _file_system(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")[1]
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(place, False)
+    if not fs.rename(beside, place):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, place = _file_system(spark, path)
+    stream = fs.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that a pattern names, in order."""
     fs, place = _file_system(spark, pattern)
