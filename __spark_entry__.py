@@ -44,8 +44,8 @@ from tierworks.operators.windows import (
     top_per_group,
 )
 from tierworks.plans.workspace import scratch_path, settle
-from tierworks.sources.catalog import ensure_namespace, list_tables, resolve
-from tierworks.streaming.events import parse_events, stream_append, stream_dedupe, stream_source
+from tierworks.sources.catalog import ensure_namespace, list_tables, read_table, resolve
+from tierworks.streaming.events import parse_events, stream_append, stream_by_batch, stream_dedupe, stream_first_copies, stream_source
 
 KEY, TRACKED = ["id"], ["segment", "region"]
 BATCH_1, BATCH_2, BATCH_3 = "1995-01-01 00:00:00", "1998-01-01 00:00:00", "2000-01-01 00:00:00"
@@ -381,7 +381,7 @@ def contract_of_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, raw: str, name: str, **options) -> DataFrame:
     bronze = scratch_path(spark, "bronze")
     land_bronze(spark, raw, bronze, **options)
-    return spark.read.parquet(f"{bronze}/{name}").drop(*CONTRACT)
+    return read_table(spark, f"{bronze}/{name}").drop(*CONTRACT)
 
 
 def land_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -489,6 +489,30 @@ def stream_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(spark, once.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
 
+def stream_first_and_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in two runs of one query. The second brings repeats, events on time, and events behind the watermark."""
+    folder, out, log = (scratch_path(spark, f"stream-{n}") for n in ("in", "out", "log"))
+    events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("customer_id"), F.col("value").alias("amount"), F.col("ts").cast("string").alias("ts"))
+    nth = F.col("event_id") % 10
+    second = events.filter(nth >= 8).unionByName(events.filter((nth < 8) & (F.col("event_id") % 5 == 0)))
+    for part in (events.filter(nth < 8), second):
+        part.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(folder)
+        good, _ = parse_events(stream_source(spark, "files", path=folder))
+        first = stream_first_copies(good, ["event_id"], "ts", "5 days", remember="400 days")
+        stamped = first.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        stream_append(stamped, out, log, available_now=True, partition_by=["_late"]).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "customer_id", "amount", "ts", F.col("_late").cast("boolean").alias("_late"))
+
+
+def stream_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches as folders of their own; the same ones again, as after a lost commit, add nothing."""
+    events = parse_events(_order_stream(spark, sf_dir, copies=1))[0]
+    out = scratch_path(spark, "stream-batches")
+    for _ in range(2):
+        stream_by_batch(events, out, scratch_path(spark, "stream-log"), available_now=True).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 # --- stored files --------------------------------------------------------------------------------
 
 
@@ -663,6 +687,8 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dead_letters": dead_letters,
         "stream_append": stream_appended,
         "stream_dedupe": stream_deduped,
+        "stream_first_and_late": stream_first_and_late,
+        "stream_in_batches": stream_in_batches,
         "retention_kept": lambda s, d: _retention(s, d)[0],
         "retention_archived": lambda s, d: _retention(s, d)[1],
         "compacted_rows": compacted_rows,
@@ -742,6 +768,11 @@ SELECT c.k AS {key}, arg_max(price, c.nth) FILTER (WHERE price IS NOT NULL) AS p
 FROM changes c LEFT JOIN resets r USING (k)
 WHERE r.nth IS NULL OR (r.op = 'insert' AND c.nth >= r.nth) GROUP BY c.k"""
 
+_STREAMED = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id, value AS amount,
+       rtrim(rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') AS ts
+FROM events"""
+
 _MONEY = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
@@ -933,10 +964,13 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
         "parse_events": "SELECT CAST(props->>'k' AS BIGINT) AS k FROM events",
         "dead_letters": """
 SELECT event_id, '{broken ' || CAST(event_id AS VARCHAR) AS props FROM events WHERE event_type = 'error'""",
-        "stream_append": """
-SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id, value AS amount,
-       rtrim(rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') AS ts
-FROM events""",
+        "stream_append": _STREAMED,
+        "stream_in_batches": _STREAMED,
+        "stream_first_and_late": """
+WITH ahead AS (SELECT epoch_ms(max(ts)) - 5 * 86400000 AS at FROM events WHERE event_id % 10 < 8)
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id, value AS amount, ts,
+       event_id % 10 >= 8 AND epoch_ms(ts) < ahead.at AS _late
+FROM events, ahead""",
         "stream_dedupe": """
 SELECT DISTINCT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id,
        value AS amount, ts

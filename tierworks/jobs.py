@@ -6,7 +6,8 @@
     spark-submit -m tierworks.jobs gold   --bronze lake/bronze --silver lake/silver --gold lake/gold
     spark-submit -m tierworks.jobs stream --bronze lake/bronze --brokers kafka:9092 --checkpoint lake/log
 
-Bronze and gold are rebuilt in full by each run; the dimension gets a new version per run.
+Bronze, facts and gold are rebuilt in full by each run, each table in one step; a run that fails leaves the tables
+that it did not get to as they were. The dimension gets a new version per run.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tierworks.functions import MONEY, ingest_instant
 from tierworks.operators.aggregates import revenue_by, with_rank_and_share
 from tierworks.operators.conform import conform
-from tierworks.operators.landing import full_refresh, land_batch, land_bronze, publish, read_latest
+from tierworks.operators.landing import land_batch, land_bronze, publish, read_latest, replace_table
 from tierworks.operators.scd2 import scd2_apply, scd2_snapshot
 from tierworks.operators.windows import newest_per_key
 from tierworks.plans.workspace import settle
 from tierworks.session import session
+from tierworks.sources.catalog import read_table
 from tierworks.sources.synthetic import SHAPES, synth_source
 from tierworks.streaming.events import stream_source, stream_with_dead_letters
 
@@ -64,8 +66,8 @@ def silver(spark: SparkSession, bronze_root: str, silver_root: str, as_of: Colum
     Rejected rows are kept below ``_rejected``.
     """
     as_of = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of
-    incoming, rejected = newest_customers(spark.read.parquet(f"{bronze_root}/crm_customers"))
-    full_refresh(rejected, f"{silver_root}/_rejected/crm_customers")
+    incoming, rejected = newest_customers(read_table(spark, f"{bronze_root}/crm_customers"))
+    replace_table(rejected, f"{silver_root}/_rejected/crm_customers")
     incoming = settle(incoming)
 
     plain, snapshot = f"{silver_root}/dim_customer", f"{silver_root}/dim_customer_scd2"
@@ -84,9 +86,9 @@ def silver(spark: SparkSession, bronze_root: str, silver_root: str, as_of: Colum
         ),
     }
     for name, (types, columns) in facts.items():
-        good, bad = conform(spark.read.parquet(f"{bronze_root}/{name}"), types)
-        full_refresh(good.select(*columns), f"{silver_root}/{name}")
-        full_refresh(bad, f"{silver_root}/_rejected/{name}")
+        good, bad = conform(read_table(spark, f"{bronze_root}/{name}"), types)
+        replace_table(good.select(*columns), f"{silver_root}/{name}")
+        replace_table(bad, f"{silver_root}/_rejected/{name}")
 
 
 def gold(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str) -> DataFrame:
@@ -95,10 +97,10 @@ def gold(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str
     Invoices that do not fit their types are in silver's ``_rejected``, with the reason.
     """
     dim = read_latest(spark, f"{silver_root}/dim_customer_scd2")
-    invoices = spark.read.parquet(f"{silver_root}/billing_invoices")
+    invoices = read_table(spark, f"{silver_root}/billing_invoices")
     target = f"{gold_root}/revenue_by_segment"
-    full_refresh(with_rank_and_share(revenue_by(invoices, dim, "segment"), "revenue", sum_type=MONEY), target)
-    return spark.read.parquet(target)
+    replace_table(with_rank_and_share(revenue_by(invoices, dim, "segment"), "revenue", sum_type=MONEY), target)
+    return read_table(spark, target)
 
 
 def stream(

@@ -13,7 +13,9 @@ from tierworks.operators.landing import (
     publish,
     read_latest,
     read_version,
+    replace_table,
     timed_landing,
+    unfinished_versions,
 )
 from tierworks.operators.maintenance import compact, repartition_table, retain
 from tierworks.operators.scd2 import (

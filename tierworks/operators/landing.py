@@ -10,10 +10,11 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tierworks.operators.contract import with_contract
-from tierworks.sources.catalog import ensure_namespace, is_path
-from tierworks.sources.files import Source, discover_sources, read_source
-from tierworks.sources.listing import delete_folder, entries, exists, modified, parquet_files
+from tierworks.sources.catalog import database_folder, ensure_namespace, is_path
+from tierworks.sources.files import BATCH, COMPLETE, Source, discover_sources, read_source
+from tierworks.sources.listing import delete_folder, exists, modified, parquet_files
 from tierworks.sources.runs import RUN_SCHEMA
+from tierworks.sources.versions import read_latest, unfinished_versions, version_number, versions
 
 PARALLEL_SOURCES = 4
 
@@ -43,24 +44,6 @@ def full_refresh(
         writer.saveAsTable(target)
 
 
-def versions(spark: SparkSession, root: str) -> list[str]:
-    """Complete versions of a table below ``root``, oldest first."""
-    if not exists(spark, root):
-        return []
-    folders = [e.path for e in entries(spark, root) if e.is_dir and e.name.startswith("version=")]
-    return [f for f in folders if exists(spark, f"{f}/_SUCCESS")]
-
-
-def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest complete version of a table, or None before the first."""
-    known = versions(spark, root)
-    return spark.read.parquet(known[-1]) if known else None
-
-
-def version_number(path: str) -> int:
-    return int(path.rstrip("/").rsplit("=", 1)[-1])
-
-
 def version_times(spark: SparkSession, root: str) -> list[tuple[int, str, datetime]]:
     """(number, path, when it was completed) of the complete versions, oldest first."""
     return [(version_number(p), p, modified(spark, f"{p}/_SUCCESS")) for p in versions(spark, root)]
@@ -114,6 +97,43 @@ def publish(
     return path
 
 
+def replace_table(
+    df: DataFrame,
+    target: str,
+    partition_by: tuple[str, ...] | list[str] = (),
+    rebalance: bool = True,
+    keep: int | None = None,
+) -> str:
+    """Replace a table (catalog name or path) by ``df`` in one step, and return the folder of the new version.
+
+    The rows are written beside the old ones. For a path they count once they are complete (see
+    :func:`tierworks.sources.catalog.read_table`); a name is a view that is then pointed at them. A write that fails leaves
+    readers with the old rows, and ``df`` may read from the target. Old versions stay, unless ``keep`` says how many: readers that
+    are still at an older one would lose it.
+    """
+    spark = df.sparkSession
+    if is_path(target):
+        root = target
+    else:
+        space, _, name = target.rpartition(".")
+        root = f"{database_folder(spark, space or None)}/{name}"
+        known = spark.catalog.tableExists(target) and spark.catalog.getTable(target).tableType
+        if known and known != "VIEW":
+            raise ValueError(f"{target} is stored as a table; drop it, so that a view over versions can take its name")
+    path = publish(df, root, partition_by, rebalance)
+    if not is_path(target):
+        spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM parquet.`{path}`")
+    if keep is not None:
+        expire_versions(spark, root, keep, apply=True)
+    return path
+
+
+def batch_folder(path: str, batch_id: str) -> str:
+    """Where a batch of a raw folder lies; ids are spelled so that they can be a folder's name."""
+    plain = "".join(c if c.isalnum() and c.isascii() or c in "-_." else f"%{ord(c):X}" for c in batch_id)
+    return f"{path.rstrip('/')}/{BATCH}{plain}"
+
+
 def land_batch(
     df: DataFrame,
     source: str,
@@ -122,16 +142,20 @@ def land_batch(
     ingested_at: str | None = None,
     fmt: str = "csv",
 ) -> str:
-    """Append one stamped batch to a raw folder as new part files; returns the batch id.
+    """Append one stamped batch to a raw folder; returns the batch id. A batch id that has landed already is left as it is.
 
-    Rows that already carry the contract columns keep them.
+    The batch has a folder of its own, which counts once Spark has marked it complete, so a batch that is landed twice, or
+    again after it was cut off half way, gives its rows once. Rows that already carry the contract columns keep them.
     """
     batch_id = batch_id or str(uuid.uuid4())
+    folder = batch_folder(path, batch_id)
+    if exists(df.sparkSession, f"{folder}/{COMPLETE}"):
+        return batch_id
     if "_batch_id" not in df.columns:
         arrived = ingested_at or datetime.now(timezone.utc).isoformat()
         df = with_contract(df, source, batch_id, arrived)
-    writer = df.write.mode("append")
-    writer.option("header", True).csv(path) if fmt == "csv" else writer.json(path)
+    writer = df.write.mode("overwrite")
+    writer.option("header", True).csv(folder) if fmt == "csv" else writer.json(folder)
     return batch_id
 
 
@@ -147,9 +171,10 @@ def _land(spark: SparkSession, source: Source, target: str, as_strings: bool) ->
     seen = Observation()
     df = read_source(spark, source, as_strings)
     planned = time.monotonic()
-    full_refresh(df.observe(seen, F.count(F.lit(1)).alias("rows")), target)
+    path = replace_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), target)
     done = time.monotonic()
     return {
+        "path": path,
         "source": source.name,
         "rows": int(seen.get["rows"]),
         "read_ms": (planned - started) * 1000,
@@ -166,7 +191,8 @@ def land_bronze(
 ) -> DataFrame:
     """Rebuild one table per raw folder below ``root``; returns ``source``, ``rows``.
 
-    ``target`` is a path or a namespace. Running it again gives the same tables. The sources are
+    ``target`` is a path or a namespace. Running it again gives the same tables; each one is replaced in one step (see
+    :func:`replace_table`), so one that fails stays as it was. The sources are
     independent, so a few are landed at a time. An empty folder is reported with no rows.
     """
     if not is_path(target):
@@ -201,7 +227,7 @@ def timed_landing(
         result = _land(spark, source, place, False)
         size = 0
         if is_path(place) and not source.empty:
-            size = parquet_files(spark, place).agg(F.sum("length")).first()[0] or 0
+            size = parquet_files(spark, result["path"]).agg(F.sum("length")).first()[0] or 0
         per_source.append(
             (result["source"], result["read_ms"], result["write_ms"], 0.0, result["rows"], size)
         )

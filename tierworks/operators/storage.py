@@ -13,9 +13,10 @@ from tierworks.sources.files import FILES_AT_ONCE
 from tierworks.plans.workspace import settle
 from tierworks.sources.listing import arrow_file, exists, parquet_files
 
-# Where a stream sink keeps its commits, and a pattern for everything else in its folder.
+# Where a stream sink keeps its commits, and a pattern for everything else in its folder
+# (names with an underscore are Spark's own, but for folders of a partition column).
 COMMIT_LOG = "_spark_metadata"
-ANY_CHILD = "[!_.]*"
+ANY_CHILD = "{[!_.]*,_*=*}"
 
 FOOTER_SCHEMA = (
     "path string, row_group int, column string, codec string, encodings string, "

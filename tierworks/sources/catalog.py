@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierworks.sources.versions import read_latest
+
 
 def is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
-    """A catalog table, or the Parquet table at a path."""
-    return spark.read.parquet(target) if is_path(target) else spark.table(target)
+    """A catalog table, or the Parquet table at a path: its newest complete version, where it has versions."""
+    if not is_path(target):
+        return spark.table(target)
+    latest = read_latest(spark, target)
+    return spark.read.parquet(target) if latest is None else latest
+
+
+def database_folder(spark: SparkSession, namespace: str | None) -> str:
+    """Where the tables of a namespace (None: the current one) are stored."""
+    return spark.catalog.getDatabase(namespace or spark.catalog.currentDatabase()).locationUri.rstrip("/")
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:

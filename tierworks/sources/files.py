@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tierworks.plans.sizing import join_per_group
 from tierworks.plans.workspace import settle
-from tierworks.sources.listing import arrow_file, arrow_readable, entries, exists
+from tierworks.sources.listing import arrow_file, arrow_readable, entries, exists, qualified
 
 log = logging.getLogger(__name__)
 
@@ -22,6 +22,8 @@ log = logging.getLogger(__name__)
 GLOBS = {"csv": "*.{csv,csv.gz}", "json": "*.{json,jsonl,json.gz,jsonl.gz}"}
 ENDINGS = {"csv": r"\.csv(\.gz)?$", "json": r"\.jsonl?(\.gz)?$"}
 FILES_AT_ONCE = 4
+# What folders of landed batches are called, and the file by which Spark marks a folder complete.
+BATCH, COMPLETE = "batch-", "_SUCCESS"
 
 
 @dataclass(frozen=True)
@@ -32,6 +34,7 @@ class Source:
     path: str
     csv_files: int = 0
     json_files: int = 0
+    folders: tuple[str, ...] = ()  # those that hold part files: the raw folder itself, and its complete batches
 
     @property
     def empty(self) -> bool:
@@ -46,11 +49,23 @@ def _listing(spark: SparkSession, paths: list[str]) -> DataFrame:
 def _with_counts(spark: SparkSession, folders: dict[str, str]) -> list[Source]:
     if not folders:
         return []
+    places = {name: [qualified(spark, path), *_complete_batches(spark, path)] for name, path in folders.items()}
     kinds = [F.count_if(F.col("path").rlike(ENDINGS[k])).alias(k) for k in ("csv", "json")]
-    parent = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
-    counts = _listing(spark, list(folders.values())).groupBy(parent.alias("name")).agg(*kinds)
-    found = {row["name"]: (row["csv"], row["json"]) for row in counts.collect()}
-    return [Source(name, path, *found.get(name, (0, 0))) for name, path in sorted(folders.items())]
+    parent = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    counts = _listing(spark, [p for own in places.values() for p in own]).groupBy(parent.alias("folder")).agg(*kinds)
+    found = {row["folder"]: (row["csv"], row["json"]) for row in counts.collect()}
+    return [_counted(name, folders[name], own, found) for name, own in sorted(places.items())]
+
+
+def _counted(name: str, path: str, places: list[str], found: dict[str, tuple[int, int]]) -> Source:
+    own = [p for p in places if p in found]
+    return Source(name, path, sum(found[p][0] for p in own), sum(found[p][1] for p in own), tuple(own))
+
+
+def _complete_batches(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the batches that were landed whole."""
+    batches = [e.path for e in entries(spark, path) if e.is_dir and e.name.startswith(BATCH)]
+    return [b for b in batches if exists(spark, f"{b}/{COMPLETE}")]
 
 
 def source_at(spark: SparkSession, path: str) -> Source:
@@ -86,11 +101,11 @@ def csv_headers(spark: SparkSession, source: Source) -> DataFrame:
     """``path``, ``header`` (array of names) per CSV file; only the start of each file is read."""
     schema = "path string, header array<string>"
     if arrow_readable(source.path):
-        names = _listing(spark, [source.path]).filter(F.col("path").rlike(ENDINGS["csv"]))
+        names = _listing(spark, list(source.folders)).filter(F.col("path").rlike(ENDINGS["csv"]))
         tasks = min(source.csv_files, FILES_AT_ONCE * spark.sparkContext.defaultParallelism)
         return names.repartition(tasks).mapInPandas(_first_records, schema)
     # Stores that pyarrow cannot open: let Spark read the first block of each file as lines.
-    lines = spark.read.option("pathGlobFilter", GLOBS["csv"]).text(source.path).select(
+    lines = spark.read.option("pathGlobFilter", GLOBS["csv"]).text(list(source.folders)).select(
         "value",
         scanned_path().alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -138,13 +153,13 @@ def read_csv_files(spark: SparkSession, source: Source, multi_line: bool = False
     )
     known = sorted((list(r["header"]), r["kind"]) for r in headers.select("header", "kind").distinct().collect())
     if not known:
-        return reader.csv(source.path)
+        return reader.csv(list(source.folders))
     if len(known) == 1:
-        return reader.schema(_texts(column_names(known[0][0]))).csv(source.path)
+        return reader.schema(_texts(column_names(known[0][0]))).csv(list(source.folders))
     if len({kind for _, kind in known}) < len(known):
         raise ValueError(f"two headers in {source.path} have one fingerprint")
     places = _texts([f"_p{i}" for i in range(max(len(header) for header, _ in known))])
-    rows = reader.schema(places).csv(source.path).withColumn("_file", scanned_path())
+    rows = reader.schema(places).csv(list(source.folders)).withColumn("_file", scanned_path())
     joined = join_per_group(rows, headers.select(F.col("path").alias("_file"), "kind"), ["_file"])
     values: dict[str, tuple[str, Column | None]] = {}
     for header, kind in known:
@@ -168,7 +183,7 @@ def read_json_files(
     """JSON-lines files; a given ``schema`` saves the pass over the data that inference needs."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     reader = reader.option("pathGlobFilter", GLOBS["json"])
-    return reader.option("primitivesAsString", as_strings).json(source.path)
+    return reader.option("primitivesAsString", as_strings).json(list(source.folders))
 
 
 def read_csv_source(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -29,6 +29,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path written as listings write it."""
+    fs, place = _file_system(spark, path)
+    return fs.makeQualified(place).toString()
+
+
 def modified(spark: SparkSession, path: str) -> datetime:
     """When a file was last written."""
     fs, place = _file_system(spark, path)

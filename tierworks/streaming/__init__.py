@@ -4,6 +4,7 @@ from tierworks.streaming.events import (
     stream_append,
     stream_by_batch,
     stream_dedupe,
+    stream_first_copies,
     stream_source,
     stream_to_table,
     stream_with_dead_letters,
@@ -15,6 +16,7 @@ __all__ = [
     "stream_append",
     "stream_by_batch",
     "stream_dedupe",
+    "stream_first_copies",
     "stream_source",
     "stream_to_table",
     "stream_with_dead_letters",
