@@ -62,10 +62,11 @@ def test_corpus(spark, corpus):
     check(spark, {r[0]: r[1] for r in corpus}, 4)
 
 
-def test_group_whose_members_are_not_all_alike(spark, monkeypatch):
-    """Copies around the limit: leaders, support and the open pairs all have something to do."""
-    monkeypatch.setattr(M, "OPEN_PER_MEMBER", 0.01)
-    monkeypatch.setattr(M, "MOST_LEADERS", 4)
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_group_whose_members_are_not_all_alike(spark, monkeypatch, rounds):
+    """Copies around the limit: leaders and rare shingles both have something to do."""
+    monkeypatch.setattr(M, "LEADER_ROUNDS", rounds)
+    monkeypatch.setattr(M, "PAIRS_IN_A_TASK", 7)
     rng = random.Random(8)
     texts = [t for edits in (1, 3, 5, 6, 8, 12) for t in near_copies(rng, 10, 160, edits)]
     same = random.Random(9)
@@ -78,8 +79,7 @@ def test_group_whose_members_are_not_all_alike(spark, monkeypatch):
 
 def test_ids_with_several_texts_in_open_buckets(spark, monkeypatch):
     """What one text of an id has alone is not charged to its other texts."""
-    monkeypatch.setattr(M, "OPEN_PER_MEMBER", 0.01)
-    monkeypatch.setattr(M, "MOST_LEADERS", 3)
+    monkeypatch.setattr(M, "LEADER_ROUNDS", 1)
     rng = random.Random(21)
     texts = [t for edits in (3, 5, 6, 8) for t in near_copies(rng, 8, 160, edits)]
     same = random.Random(22)

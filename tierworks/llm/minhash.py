@@ -9,10 +9,10 @@ Texts of one set are one class, found by a 128-bit digest, and only classes go o
 ``ROWS`` registers each make candidates: at similarity 0.8 all bands miss with probability (1 - 0.8^4)^32 =
 5e-8. Within a bucket no pairs are made up front: all members are compared with one leader (the member in the
 fullest buckets), which then leaves the bucket. A bucket whose members have become one component is settled,
-whatever pairs it holds. Others get further leaders; members leave that have too many shingles of their own for
-any link; and in the end come the pairs between different components of a bucket, which are the ones still
-open. Candidates are cut by size and by the estimate (``SIGMAS`` standard errors below the limit) and then
-verified on full sets. Nothing is capped.
+whatever pairs it holds. Others get a second leader. What is still open after that, pairs between different
+components of a bucket, is found by the rarest shingles that members share, see :func:`_by_rare_shingles`. Candidates are
+cut by size and by the estimate (``SIGMAS`` standard errors below the limit) and then verified on full sets. Nothing
+is capped, and at no point all pairs of a bucket are made.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tierworks.llm import arrays
 from tierworks.llm.arrays import U64
@@ -35,8 +35,10 @@ REGISTERS = BANDS * ROWS
 MANTISSA, VALUE_BITS = 10, 53
 PERCENT = 80
 SIGMAS = 7
-#: Leaders are tried while the open pairs are more than so many for each member of an open bucket.
-OPEN_PER_MEMBER, MOST_LEADERS, ROUNDS_BEFORE_SUPPORT = 4, 8, 2
+#: Rounds of leaders before what is still open goes by rare shingles.
+LEADER_ROUNDS = 2
+#: Sizes of sets within this factor are of one class.
+SIZE_CLASS = 1.05
 #: Up to so many ids (8 bytes each) are broadcast to pick texts; beyond, texts are shuffled.
 BROADCAST_IDS = 500_000
 #: Up to so many pairs (with registers 300 bytes each) are broadcast to the classes; beyond, both are shuffled.
@@ -150,35 +152,48 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar; ``texts`` has ``id, text`` of all classes."""
+    """The pairs ``a, b`` whose full sets are similar; ``texts`` has ``id, text`` of all classes.
+
+    A leader ``a`` stands once before the texts it is compared with, so no row holds two texts. A leader of more than
+    ``PAIRS_IN_A_TASK`` pairs is dealt out with them to several tasks.
+    """
     pairs = settle(pairs)
     n = pairs.count()
     if not n:
         return pairs
     pairs = pieces(pairs, n)
+    per_leader = settle(pieces(pairs, n).groupBy("a").agg(F.ceil(F.count("*") / PAIRS_IN_A_TASK).alias("parts")))
+    pairs = settle(pairs.join(per_leader, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b"))
     ids = settle(pieces(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")), n).distinct())
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     wanted = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").distinct()
-    own = wanted.select(F.col("id").alias("b"), "text").join(F.broadcast(pairs) if n <= BROADCAST_PAIRS else pairs, "b")
-    both = own.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("leader"), F.xxhash64("text").alias("leading")), "a")
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if n <= BROADCAST_PAIRS else df
+
+    leaders = wanted.join(small(pairs.select(F.col("a").alias("id"), "a", "part").distinct()), "id")
+    members = wanted.join(small(pairs.select(F.col("b").alias("id"), "a", "part", "b")), "id")
+    line = leaders.select("a", "part", F.lit(None).cast("long").alias("b"), "text").unionAll(members.select("a", "part", "b", "text"))
+    dealt = line.repartition(1 + n // PAIRS_IN_A_TASK, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, leader = None, None
+        last, leading = None, []  # an id may have several texts
         for block in arrays.blocks(batches):
             rows = dict(zip(block.rows.schema.names, block.rows.columns, strict=True))
-            # An id may have several texts.
-            a, b, keep = list(zip(rows["a"].to_pylist(), rows["leading"].to_pylist(), strict=True)), rows["b"], []
-            for k, own in enumerate(shingle_sets(block, size)):
-                if a[k] != last:
-                    data = np.frombuffer((rows["leader"][k].as_py() or "").encode(), np.uint8)
-                    last, leader = a[k], shingle_sets(arrays.Block(block.rows, data, np.array([0, len(data)])), size)[0]
-                shared = len(np.intersect1d(own, leader, assume_unique=True))
-                keep.append(shared > 0 and 100 * shared >= PERCENT * (len(own) + len(leader) - shared))
-            mask = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([rows["a"].filter(mask), b.filter(mask)], ["a", "b"])
-
-    work = both.select("a", "b", "text", "leader", "leading").coalesce(1 + n // PAIRS_IN_A_TASK)
-    return settle(work.mapInArrow(verify, "a long, b long"))
+            found = []
+            for a, part, b, own in zip(rows["a"].to_pylist(), rows["part"].to_pylist(), rows["b"].to_pylist(), shingle_sets(block, size), strict=True):
+                if (a, part) != last:
+                    last, leading = (a, part), []
+                if b is None:
+                    leading.append(own)
+                    continue
+                shared = ((len(np.intersect1d(own, x, assume_unique=True)), len(x)) for x in leading)
+                if any(k > 0 and 100 * k >= PERCENT * (len(own) + other - k) for k, other in shared):
+                    found.append((a, b))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+
+    return settle(dealt.mapInArrow(verify, "a long, b long").distinct())
 
 
 def link_classes(classes: DataFrame, texts: DataFrame, size: int, given: DataFrame) -> DataFrame:
@@ -198,13 +213,11 @@ def link_classes(classes: DataFrame, texts: DataFrame, size: int, given: DataFra
     rows = members.withColumn("comp", F.col("id"))
     while True:
         rows, open_pairs, open_members = _open(rows)
-        if open_pairs and tried == ROUNDS_BEFORE_SUPPORT:
-            rows, open_pairs, open_members = _open(rows.join(_supported(rows, texts, size), "id", "left_semi"))
         if not open_pairs:
             return roots
-        last = tried >= MOST_LEADERS or (tried >= ROUNDS_BEFORE_SUPPORT and open_pairs <= OPEN_PER_MEMBER * open_members)
+        last = tried >= LEADER_ROUNDS
         if last:
-            pairs = settle(_between_components(rows))
+            pairs = settle(_by_rare_shingles(rows, texts, size))
         else:
             led = pieces(settle(_with_leaders(rows, open_members)), open_members)
             pairs = settle(pieces(led.filter("comp <> leading").select("a", F.col("id").alias("b")), open_members).distinct())
@@ -232,40 +245,53 @@ def _open(rows: DataFrame) -> tuple[DataFrame, int, int]:
     return pieces(kept, members or 0), int(pairs or 0), int(members or 0)
 
 
-def _supported(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """Ids of open members of whose shingles enough stand in other open members too, for any link to be possible.
+def _by_rare_shingles(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Pairs ``a, b`` of open members in different components, all that can be linked among them.
 
-    A link needs ``PERCENT`` per cent of a text's shingles to be shared, and partners that are still sought are open
-    members. A shingle that one text alone has is counted for it. An id may have several texts, each of which is
-    judged by its own shingles; one that may be linked keeps the id.
+    Sets of ``x <= y`` shingles are linked if they share at least 4/9 (x + y) of them. Shingles that one member alone has
+    cannot be shared; the others are put into one order, rare ones first. Then two linked sets must meet in the first few of
+    their orders: among the ``s - 8/9 x + 1`` first of the smaller one, and the ``s - 4/5 y + 1`` first of the larger one. Members
+    whose common shingles are too few for any partner have none. Sizes that cannot meet are kept apart by size classes in the
+    key. So rows grow with the rare shingles that members share, not with the square of a bucket.
     """
-    ids = rows.select("id").distinct()
+    ids = rows.select("id", "comp").distinct()
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in arrays.blocks(batches):
             sets = shingle_sets(block, size)
             counts = [len(x) for x in sets]
-            id_of, owner_of = (np.repeat(block.rows.column(k).to_numpy(), counts) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(id_of), pa.array(owner_of), pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.zeros(len(id_of), np.int64))],
-                ["id", "owner", "shingle", "n"],
-            )
-            # One row more for each text, under a name of its own: the size of its set.
-            id_of, owner_of = (block.rows.column(k) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([id_of, owner_of, owner_of, pa.array(counts, pa.int64())], ["id", "owner", "shingle", "n"])
-
-    held = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").distinct()
-    held = held.select("id", F.xxhash64("id", "text").alias("owner"), "text")
-    shingles = held.mapInArrow(spread, "id long, owner long, shingle long, n long")
-    alone = (
-        shingles.groupBy("shingle")
-        .agg(F.max("id").alias("id"), F.min("owner").alias("owner"), F.max("owner").alias("other"), F.max("n").alias("n"))
-        .filter("owner = other")
-        .groupBy("id", "owner")
-        .agg(F.max("n").alias("n"), (F.count("*") - 1).alias("alone"))
-    )
-    return alone.filter("n > 0").filter(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")).select("id").distinct()
+            columns = [pa.array(np.repeat(block.rows.column(k).to_numpy(), counts)) for k in range(3)]
+            columns += [pa.array(np.repeat(np.array(counts, np.int64), counts)), pa.array(np.concatenate(sets).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "comp", "owner", "n", "shingle"])
+
+    held = texts.join(F.broadcast(ids) if few else ids, "id").distinct()
+    held = held.select("id", "comp", F.xxhash64("id", "text").alias("owner"), "text")
+    shingles = settle(held.mapInArrow(spread, "id long, comp long, owner long, n long, shingle long"))
+    common = settle(shingles.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1"))
+    order = F.array_sort(F.collect_list(F.struct("held", "shingle")))
+    sets = shingles.join(common, "shingle").groupBy("owner", "id", "comp", "n").agg(order.alias("order"))
+    sets = sets.withColumn("s", F.size("order").cast("long")).filter("5 * s >= 4 * n")
+    sets = settle(sets)
+
+    def size_class(n) -> Column:
+        return F.floor(F.log(n.cast("double")) / float(np.log(SIZE_CLASS))).cast("int")
+
+    def first(count: Column) -> Column:
+        return F.explode(F.transform(F.slice("order", F.lit(1), F.greatest(F.lit(0), count).cast("int")), lambda x: x["shingle"]))
+
+    n, s = F.col("n"), F.col("s")
+    smaller = settle(sets.select("owner", "id", "comp", "n", "s", size_class(n).alias("class"), first(s - F.ceil(8 * n / 9) + 1).alias("shingle")))
+    least, most = F.ceil(4 * n / 5), F.least(n, F.floor((9 * s - 4 * n) / 4))
+    larger = sets.filter(most >= least).withColumn("classes", F.sequence(size_class(least), size_class(most)))
+    larger = larger.select("owner", "id", "comp", "n", "s", "classes", first(s - F.ceil(4 * n / 5) + 1).alias("shingle"))
+    larger = settle(larger.withColumn("class", F.explode("classes")).drop("classes"))
+    x, y = smaller.alias("x"), larger.alias("y")
+    before = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.owner") < F.col("y.owner")))
+    enough = 9 * F.least("x.s", "y.s") >= 4 * (F.col("x.n") + F.col("y.n"))
+    same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") == F.col("y.class"))
+    met = x.join(y, same & (F.col("x.comp") != F.col("y.comp")) & before & enough)
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def _with_leaders(rows: DataFrame, n: int) -> DataFrame:
@@ -276,12 +302,6 @@ def _with_leaders(rows: DataFrame, n: int) -> DataFrame:
     return pieces(rows.join(pieces(leaders, n), "bucket"), n)
 
 
-def _between_components(rows: DataFrame) -> DataFrame:
-    """The pairs that are still open: members of one bucket in different components."""
-    other = rows.select("bucket", F.col("id").alias("b"), F.col("comp").alias("other"))
-    return rows.join(other, "bucket").filter("comp < other").select(F.col("id").alias("a"), "b").distinct()
-
-
 def near_duplicates(df: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_shingles, component_id, kept`` for each row of ``df``.
 
