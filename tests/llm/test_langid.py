@@ -40,3 +40,49 @@ def test_no_training_rows(spark, docs, empty):
     model = langid.fit(empty)
     assert {r.lang_pred for r in langid.predict(docs, model).collect()} == {"und"}
     assert langid.predict(empty, model).count() == 0
+
+
+def brute_bayes(train, texts):
+    """Naive Bayes over the same buckets, one n-gram at a time."""
+    import math
+    from collections import Counter, defaultdict
+
+    grams, docs = defaultdict(Counter), Counter()
+    for text, lang in train:
+        docs[lang] += 1
+        for found in langid.buckets_of(text.lower()):
+            grams[lang].update(found.tolist())
+    out = []
+    for text in texts:
+        if text is None or not any(c.isalpha() for c in text):
+            out.append(("und", 0.0))
+            continue
+        own = Counter(x for found in langid.buckets_of(text.lower()) for x in found.tolist())
+        logs = {}
+        for lang in sorted(docs):
+            total = sum(grams[lang].values())
+            logs[lang] = math.log(docs[lang] / sum(docs.values())) + sum(
+                n * (math.log(grams[lang][b] + langid.ALPHA) - math.log(total + langid.ALPHA * langid.BUCKETS)) for b, n in own.items()
+            )
+        best = max(sorted(logs), key=lambda k: logs[k])
+        out.append((best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())))
+    return out
+
+
+def test_equals_bayes_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(langid, "HELD_LANGUAGES", 2)  # counts go to Spark in several portions
+    train = [("the cat and the hat", "en"), ("le chat et le chapeau", "fr"), ("die katze und der hut", "de"), ("the dog", "en"), ("el gato", "es"), ("un chien", "fr")]
+    texts = ["the chat", "½ ²", "Ⅷ", "١٢٣", "4 5", "_", "ª", "日本", "hut hut " * 50, "", None, "the chat", "É"]
+    model = langid.fit(spark.createDataFrame(train, "text string, lang string").coalesce(1))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.lang_pred, r.score) for r in langid.predict(rows, model).orderBy("doc_id").collect()]
+    want = brute_bayes(train, texts)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert all(abs(g[1] - w[1]) < 1e-3 for g, w in zip(got, want))
+    assert [g[0] for g in got[1:6]] == ["und"] * 5
+
+
+def test_more_languages_than_are_held_at_once(spark):
+    train = spark.createDataFrame([(f"word{k} " * 3, f"l{k:03}") for k in range(300)], "text string, lang string")
+    langs, _, logs = langid.fit(train)
+    assert len(langs) == 300 and logs.shape == (langid.BUCKETS, 300)

@@ -19,7 +19,7 @@ def test_url_query_against_sql(spark):
 
 def test_one_query_for_each_operator():
     names = list(Q.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
     assert set(Q.oracle_sql()) <= set(names)
 
 

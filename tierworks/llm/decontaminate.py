@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tierworks.llm import arrays
 from tierworks.llm.arrays import U64
+from tierworks.llm.carry import packed, unpacked
 from tierworks.plans.workspace import settle
 
 WINDOW = 13
@@ -295,9 +296,10 @@ def _without(data: np.ndarray, low: int, high: int, spans: list[tuple[int, int]]
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
-    """The rows of ``df`` that are not contaminated, hit ranges cut out of the others' texts; columns of ``df``."""
-    text = names.get("text", "text")
-    found = find_items(df, benchmark, **names)
-    return found.filter(~F.col("contaminated")).select(
-        *(F.col("cut_text").alias(text) if c == text else F.col(c) for c in df.columns)
-    )
+    """The rows of ``df`` that are not contaminated, hit ranges cut out of the others' texts.
+
+    Columns of ``df`` come back as they are, whatever they are called. Texts of any length are searched whole, in pieces.
+    """
+    text = names.pop("text", "text")
+    found = find_items(packed(df, text), benchmark, **names)
+    return found.filter(~F.col("contaminated")).select(*unpacked(df.columns, text, F.col("cut_text")))

@@ -3,12 +3,11 @@
 Texts are lower-cased and read as code points; n-grams of 1 to ``MAX_N`` are hashed into ``BUCKETS``. Training
 counts every n-gram of every training text: tasks count with numpy, Spark adds up (language, bucket). The
 log-probability matrix (``BUCKETS`` x languages of 4 bytes: its size hangs on neither table) goes to the tasks,
-which sum its rows over a text's n-grams. Languages are the learned values; more than ``MAX_LANGUAGES`` is an error.
+which sum its rows over a text's n-grams. Languages are the learned values, however many there are.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 MAX_N, BUCKETS, ALPHA = 4, 1 << 16, 0.5
-MAX_LANGUAGES = 256
+#: So many languages are counted at once in a task (512 KB each).
+HELD_LANGUAGES = 64
 #: Code points taken at once.
 PIECE = 1 << 18
 UNKNOWN = "und"
-HAS_LETTER = re.compile(r"[^\W\d_]")
 
 
 def buckets_of(text: str) -> Iterator[np.ndarray]:
@@ -47,29 +46,32 @@ def count_grams(df: DataFrame, text: str, lang: str) -> DataFrame:
         for batch in batches:
             for value, own in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 if own not in counts:
-                    if len(counts) > MAX_LANGUAGES:
-                        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+                    if len(counts) >= HELD_LANGUAGES:  # what is counted so far goes to Spark, which adds up
+                        yield from _counted(counts, texts)
+                        counts, texts = {}, {}
                     counts[own], texts[own] = np.zeros(BUCKETS, np.int64), 0
                 texts[own] += 1
                 for found in buckets_of((value.as_py() or "").lower()):
                     counts[own] += np.bincount(found, minlength=BUCKETS)
-        for own, row in counts.items():
-            at = np.flatnonzero(row)
-            cells = [pa.array([own] * (len(at) + 1)), pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(row[at], texts[own]), pa.int64())]
-            yield pa.RecordBatch.from_arrays(cells, ["lang", "bucket", "n"])
+        yield from _counted(counts, texts)
 
     rows = df.select(F.col(text), F.col(lang)).filter(F.col(lang).isNotNull())
     return rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
+def _counted(counts: dict[str, np.ndarray], texts: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    for own, row in counts.items():
+        at = np.flatnonzero(row)
+        cells = [pa.array([own] * (len(at) + 1)), pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(row[at], texts[own]), pa.int64())]
+        yield pa.RecordBatch.from_arrays(cells, ["lang", "bucket", "n"])
+
+
 def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log priors and the log-probability matrix (bucket x language)."""
     counted = count_grams(df, text, lang)
-    # At most MAX_LANGUAGES x (BUCKETS + 1) rows, whatever the size of the corpus.
+    # At most BUCKETS + 1 rows for each language, whatever the size of the corpus.
     rows = counted.toPandas()
     langs = sorted(rows["lang"].unique().tolist())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts = np.zeros((BUCKETS, len(langs)))
     texts = np.zeros(len(langs))
     for k, own in enumerate(langs):
@@ -84,8 +86,9 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str
 def predict(df: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
     """``df`` with ``lang_pred`` and ``score`` (posterior probability of the prediction).
 
-    NULL texts, texts without a letter and a model without languages give ``und`` and 0. Ties go to the first
-    language by name. Columns of ``df`` with these names are replaced.
+    NULL texts, texts without a letter (numerals are none) and a model without languages give ``und`` and 0. Ties go to the
+    first language by name. Repeated rows are judged alike, texts of any length are read whole, in pieces. Columns of
+    ``df`` with these names are replaced.
     """
     langs, priors, logs = model
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -93,7 +96,7 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text
     shared = df.sparkSession.sparkContext.broadcast(logs)
 
     def judge(value: str | None) -> tuple[str, float]:
-        if not langs or value is None or not HAS_LETTER.search(value):
+        if not langs or value is None or not any(map(str.isalpha, value)):
             return UNKNOWN, 0.0
         total = priors.copy()
         for found in buckets_of(value.lower()):

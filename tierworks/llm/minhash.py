@@ -162,8 +162,13 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     if not n:
         return pairs
     pairs = pieces(pairs, n)
-    per_leader = settle(pieces(pairs, n).groupBy("a").agg(F.ceil(F.count("*") / PAIRS_IN_A_TASK).alias("parts")))
-    pairs = settle(pairs.join(per_leader, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b"))
+    busy = pairs.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > PAIRS_IN_A_TASK)
+    busy = settle(pieces(busy.select("a", F.ceil(F.col("n") / PAIRS_IN_A_TASK).alias("parts")), n))
+    if busy.isEmpty():
+        pairs = pairs.withColumn("part", F.lit(0).cast("long"))
+    else:
+        part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")), F.lit(0))
+        pairs = settle(pairs.join(busy, "a", "left").select("a", part.alias("part"), "b"))
     ids = settle(pieces(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")), n).distinct())
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     wanted = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").distinct()
@@ -248,8 +253,8 @@ def _open(rows: DataFrame) -> tuple[DataFrame, int, int]:
 def _by_rare_shingles(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Pairs ``a, b`` of open members in different components, all that can be linked among them.
 
-    Sets of ``x <= y`` shingles are linked if they share at least 4/9 (x + y) of them. Shingles that one member alone has
-    cannot be shared; the others are put into one order, rare ones first. Then two linked sets must meet in the first few of
+    Sets of ``x <= y`` shingles are linked if they share at least 4/9 (x + y) of them. Shingles that one component alone has
+    are not shared by such pairs; the others are put into one order, rare ones first. Then two linked sets must meet in the first few of
     their orders: among the ``s - 8/9 x + 1`` first of the smaller one, and the ``s - 4/5 y + 1`` first of the larger one. Members
     whose common shingles are too few for any partner have none. Sizes that cannot meet are kept apart by size classes in the
     key. So rows grow with the rare shingles that members share, not with the square of a bucket.
@@ -268,7 +273,8 @@ def _by_rare_shingles(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame
     held = texts.join(F.broadcast(ids) if few else ids, "id").distinct()
     held = held.select("id", "comp", F.xxhash64("id", "text").alias("owner"), "text")
     shingles = settle(held.mapInArrow(spread, "id long, comp long, owner long, n long, shingle long"))
-    common = settle(shingles.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1"))
+    common = shingles.groupBy("shingle").agg(F.count("*").alias("held"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    common = settle(common.filter("c0 <> c1").select("shingle", "held"))
     order = F.array_sort(F.collect_list(F.struct("held", "shingle")))
     sets = shingles.join(common, "shingle").groupBy("owner", "id", "comp", "n").agg(order.alias("order"))
     sets = sets.withColumn("s", F.size("order").cast("long")).filter("5 * s >= 4 * n")

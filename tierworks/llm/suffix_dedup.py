@@ -27,9 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tierworks.llm import arrays
+from tierworks.llm.carry import packed, unpacked
 from tierworks.llm.arrays import U64
 from tierworks.plans.workspace import scratch_path
 
@@ -265,11 +266,17 @@ def without_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, wor
     Judged on the texts as given, within and across rows; a text that several rows hold is a repeat of itself. All
     occurrences go, the first included. NULL texts are empty; texts shorter than ``length`` lose nothing. With
     ``words``, runs of so many equal words (whatever white space stands between them) go as well, however short.
-    Columns of ``df`` with these names (or ``t1``, ``t2``) are replaced.
+    Columns of ``df`` with these names are replaced, all others come back as they are, whatever they are called.
     """
     added = ["n_bytes", "removed", "kept"]
-    rows = df.select(*(c for c in df.columns if c not in {*added, "t1", "t2"}))
-    whole = F.coalesce(F.col(text), F.lit(""))
+    cut = _cut(packed(df, text), length, words)
+    return cut.select(*unpacked([c for c in df.columns if c not in added], text), *added)
+
+
+def _cut(rows: DataFrame, length: int, words: int | None) -> DataFrame:
+    """``text, carried, n_bytes, removed, kept`` of packed rows."""
+    added = ["n_bytes", "removed", "kept"]
+    whole = F.coalesce("text", F.lit(""))
     keyed = rows.select("*", *digests(whole))
     texts = keyed.select("t1", "t2", whole.alias("text"))
     starts = _starts(texts.filter(F.octet_length("text") >= length), length, False)
@@ -283,7 +290,7 @@ def without_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, wor
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-        for block in arrays.blocks(batches, text):
+        for block in arrays.blocks(batches):
             ranges = block.rows.column(block.rows.schema.get_field_index("__ranges"))
             runs = block.rows.column(block.rows.schema.get_field_index("__runs")) if words else None
             found = arrays.words(block.data, block.bounds, arrays.NOT_SPACE) if words else None
@@ -309,8 +316,8 @@ def without_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, wor
             columns += [pa.array(np.diff(block.bounds), pa.int64()), pa.array(removed, pair), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*names, *added])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return joined.mapInArrow(cut, f"{schema}, n_bytes long, removed array<struct<first: long, last: long>>, kept binary")
+    more = T.StructType.fromDDL("n_bytes long, removed array<struct<first: long, last: long>>, kept binary")
+    return joined.mapInArrow(cut, T.StructType([*rows.schema.fields, *more.fields]))
 
 
 def deduplicated(df: DataFrame, text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
@@ -318,11 +325,11 @@ def deduplicated(df: DataFrame, text: str = "text", length: int = LENGTH, words:
 
     A text of which nothing is left becomes empty; NULL stays NULL. Columns of ``df`` stay.
     """
-    cut = without_repeats(df, text, length, words)
+    cut = _cut(packed(df, text), length, words)
 
     @F.pandas_udf("string")
     def readable(parts):
         return parts.map(lambda x: bytes(x).decode("utf-8", "ignore"))
 
-    some = F.when(F.size("removed") > 0, readable("kept")).otherwise(F.col(text))
-    return cut.select(*(some.alias(text) if c == text else F.col(c) for c in df.columns))
+    some = F.when(F.size("removed") > 0, readable("kept")).otherwise(F.col("text"))
+    return cut.select(*unpacked(df.columns, text, some))

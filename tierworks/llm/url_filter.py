@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tierworks.llm.carry import packed, unpacked
+from tierworks.plans.workspace import settle
+
 #: Up to so many rules the index is broadcast; beyond, both sides are shuffled by token.
 BROADCAST_RULES = 100_000
 
@@ -117,20 +120,22 @@ def filter_urls(pages: DataFrame, domain_rules: DataFrame, pattern_rules: DataFr
     The longest fitting domain rule decides; else a pattern rule: ``block`` when one fits and no ``allow`` pattern
     does, ``allow`` otherwise. NULL urls, urls without ``://`` and empty tables give ``allow`` and no rule. Rows
     with one url are judged once and all get the verdict. Columns of ``pages`` that are called like an added
-    one are replaced. A url that many rows hold is a hot key of the last join only, which adaptive execution splits.
+    one are replaced, all others come back as they are, whatever they are called. A url that many rows hold is a hot key of
+    the last join only; the verdicts are stored before it, so that adaptive execution can split it.
     """
-    kept = pages.drop(*({"host", "path", "rule", "verdict"} - {url}))
-    urls = kept.select(F.col(url).alias("url")).filter(F.col("url").isNotNull()).distinct()
+    added = {"host", "path", "rule", "verdict"} - {url}
+    kept = packed(pages, url)
+    urls = kept.select(F.col("text").alias("url")).filter(F.col("url").isNotNull()).distinct()
     judged = domain_matches(urls, domain_rules).join(pattern_matches(urls, pattern_rules), "url", "full_outer")
     judged = judged.select(
-        F.col("url").alias("__url"),
+        "url",
         "rule",
         F.coalesce("rule_verdict", F.when(F.col("blocked") & ~F.col("allowed"), "block").otherwise("allow")).alias("verdict"),
     )
-    return kept.join(judged, kept[url] == F.col("__url"), "left").select(
-        *(kept[c] for c in kept.columns),
-        host_of(kept[url]).alias("host"),
-        path_of(kept[url]).alias("path"),
+    return kept.join(settle(judged), F.col("text") == F.col("url"), "left").select(
+        *unpacked([c for c in pages.columns if c not in added], url),
+        host_of(F.col("text")).alias("host"),
+        path_of(F.col("text")).alias("path"),
         "rule",
         F.coalesce("verdict", F.lit("allow")).alias("verdict"),
     )
