@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierworks.llm import bpe, decontaminate as items, minhash, quality_rules as rules, suffix_dedup
+from tierworks.llm.carry import packed, unpacked
 from tierworks.llm.queries import tokenizer_path
 from tierworks.plans.workspace import scratch_path
 
@@ -22,8 +23,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the rules learned from ``labels``."""
-    judged = rules.judge(docs, _table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(*docs.columns)
+    judged = rules.judge(packed(docs, "text", "doc_id"), _table(spark, sf_dir, "labels"))
+    return judged.filter("kept").select(*unpacked(docs.columns, "text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
