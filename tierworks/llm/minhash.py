@@ -284,17 +284,20 @@ def _by_rare_shingles(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame
         return F.floor(F.log(n.cast("double")) / float(np.log(SIZE_CLASS))).cast("int")
 
     def first(count: Column) -> Column:
-        return F.explode(F.transform(F.slice("order", F.lit(1), F.greatest(F.lit(0), count).cast("int")), lambda x: x["shingle"]))
+        """The first shingles, with how many of the order are left from there on."""
+        left = F.slice("order", F.lit(1), F.greatest(F.lit(0), count).cast("int"))
+        return F.inline(F.transform(left, lambda x, k: F.struct(x["shingle"].alias("shingle"), (F.col("s") - k).alias("left"))))
 
     n, s = F.col("n"), F.col("s")
-    smaller = settle(sets.select("owner", "id", "comp", "n", "s", size_class(n).alias("class"), first(s - F.ceil(8 * n / 9) + 1).alias("shingle")))
+    smaller = settle(sets.select("owner", "id", "comp", "n", "s", size_class(n).alias("class"), first(s - F.ceil(8 * n / 9) + 1)))
     least, most = F.ceil(4 * n / 5), F.least(n, F.floor((9 * s - 4 * n) / 4))
     larger = sets.filter(most >= least).withColumn("classes", F.sequence(size_class(least), size_class(most)))
-    larger = larger.select("owner", "id", "comp", "n", "s", "classes", first(s - F.ceil(4 * n / 5) + 1).alias("shingle"))
+    larger = larger.select("owner", "id", "comp", "n", "s", "classes", first(s - F.ceil(4 * n / 5) + 1))
     larger = settle(larger.withColumn("class", F.explode("classes")).drop("classes"))
     x, y = smaller.alias("x"), larger.alias("y")
     before = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.owner") < F.col("y.owner")))
-    enough = 9 * F.least("x.s", "y.s") >= 4 * (F.col("x.n") + F.col("y.n"))
+    # If this is the first shingle that they share, no more than what is left from it on can be shared.
+    enough = 9 * F.least("x.left", "y.left") >= 4 * (F.col("x.n") + F.col("y.n"))
     same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") == F.col("y.class"))
     met = x.join(y, same & (F.col("x.comp") != F.col("y.comp")) & before & enough)
     return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
