@@ -45,6 +45,7 @@ from tierworks.operators.windows import (
 )
 from tierworks.plans.workspace import scratch_path, settle
 from tierworks.sources.catalog import ensure_namespace, list_tables, read_table, resolve
+from tierworks.sources.schemas import read_json_kept
 from tierworks.streaming.events import parse_events, stream_append, stream_by_batch, stream_dedupe, stream_first_copies, stream_source
 
 KEY, TRACKED = ["id"], ["segment", "region"]
@@ -438,6 +439,26 @@ def land_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(landed, {"ts": "timestamp_ntz"})[0]
 
 
+def land_json_late_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose schema is kept from a first batch; later ones have one more field and, now and then, another type."""
+    folder, schema = scratch_path(spark, "kept"), f"{scratch_path(spark, 'schemas')}.json"
+    events = table(spark, sf_dir, "events")
+    event, odd = F.col("event_id"), F.col("event_id") % 7 == 0
+    land_batch(events.filter(event % 2 == 0).select("event_id", "user_id"), "events", folder, "first", fmt="json")
+    read_json_kept(spark, folder, schema)
+    user = F.when(~odd, F.col("user_id"))
+    later = events.filter(event % 2 == 1)
+    land_batch(later.filter(~odd).select("event_id", user.alias("user_id"), "value"), "events", folder, "second", fmt="json")
+    land_batch(later.filter(odd).select("event_id", F.lit("unknown").alias("user_id"), "value"), "events", folder, "third", fmt="json")
+    rescued = F.col("_rescued")
+    return read_json_kept(spark, folder, schema).select(
+        "event_id",
+        "user_id",
+        F.get_json_object(rescued, "$.value").cast("double").alias("value"),
+        F.get_json_object(rescued, "$.user_id").alias("odd_user"),
+    )
+
+
 def land_json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = _landed(spark, _raw_json(spark, sf_dir), "web_events", as_strings=True)
     return conform(landed, EVENT_TYPES)[0]
@@ -683,6 +704,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "first_version_of_dimension": first_version_of_dimension,
         "land_json": land_json,
         "land_json_strings": land_json_strings,
+        "land_json_late_field": land_json_late_field,
         "parse_events": props_parsed,
         "dead_letters": dead_letters,
         "stream_append": stream_appended,
@@ -961,6 +983,11 @@ SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, r_name AS regio
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
         "land_json": _EVENTS,
         "land_json_strings": _EVENTS,
+        "land_json_late_field": """
+SELECT event_id, CASE WHEN event_id % 2 = 0 OR event_id % 7 <> 0 THEN user_id END AS user_id,
+       CASE WHEN event_id % 2 = 1 THEN value END AS value,
+       CASE WHEN event_id % 2 = 1 AND event_id % 7 = 0 THEN 'unknown' END AS odd_user
+FROM events""",
         "parse_events": "SELECT CAST(props->>'k' AS BIGINT) AS k FROM events",
         "dead_letters": """
 SELECT event_id, '{broken ' || CAST(event_id AS VARCHAR) AS props FROM events WHERE event_type = 'error'""",
