@@ -36,23 +36,32 @@ class Words(NamedTuple):
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[Block]:
-    """Cut batches into blocks of few texts, so that memory hangs on the longest text only."""
+    """Cut batches into blocks of few texts, so that memory hangs on the longest text only.
+
+    Workers are used again by later tasks, so what a batch took is given back to the system behind it.
+    """
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column))
-        if texts.null_count:
-            texts = pc.fill_null(texts, "")
-        at, rows = 0, batch.num_rows
-        kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
-        _, offsets, data = texts.buffers()
-        if not rows:
-            continue
-        bounds = np.frombuffer(offsets, kind)[texts.offset : texts.offset + rows + 1].astype(np.int64)
-        whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-        while at < rows:
-            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + BLOCK_BYTES, "right")) - 1)
-            own = bounds[at : to + 1]
-            yield Block(batch.slice(at, to - at), whole[own[0] : own[-1]], own - own[0])
-            at = to
+        yield from _cut(batch, column)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def _cut(batch: pa.RecordBatch, column: str) -> Iterator[Block]:
+    texts = batch.column(batch.schema.get_field_index(column))
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    at, rows = 0, batch.num_rows
+    kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    if not rows:
+        return
+    bounds = np.frombuffer(offsets, kind)[texts.offset : texts.offset + rows + 1].astype(np.int64)
+    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    while at < rows:
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + BLOCK_BYTES, "right")) - 1)
+        own = bounds[at : to + 1]
+        yield Block(batch.slice(at, to - at), whole[own[0] : own[-1]], own - own[0])
+        at = to
 
 
 def byte_class(predicate) -> np.ndarray:
