@@ -15,6 +15,9 @@ from tierworks.plans.workspace import scratch_path
 
 #: Words of the shortest passage that counts as repeated; text without white space is judged by bytes alone.
 PASSAGE_WORDS = 51
+#: Bytes of one Arrow batch. A task holds a few of them on either side; a row that is longer is a batch of its own.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,10 +76,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's table is written into the shared folder and read again."""
-    docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    """All stages over ``documents``; each stage's table is written into the shared folder and read again.
+
+    Stages run with batches of ``BATCH_BYTES``; afterwards the session has its own setting again.
+    """
+    docs, before = _table(spark, sf_dir, "documents"), spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    try:
+        for name, stage in STAGES:
+            path = scratch_path(spark, f"pipeline-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return docs
