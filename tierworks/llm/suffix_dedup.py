@@ -273,8 +273,8 @@ def without_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, wor
     return cut.select(*unpacked([c for c in df.columns if c not in added], text), *added)
 
 
-def _cut(rows: DataFrame, length: int, words: int | None) -> DataFrame:
-    """``text, carried, n_bytes, removed, kept`` of packed rows."""
+def _cut(rows: DataFrame, length: int, words: int | None, readable: bool = False) -> DataFrame:
+    """``text, carried, n_bytes, removed, kept`` of packed rows; ``readable``: the rest as a string, without cut characters."""
     added = ["n_bytes", "removed", "kept"]
     whole = F.coalesce("text", F.lit(""))
     keyed = rows.select("*", *digests(whole))
@@ -288,6 +288,9 @@ def _cut(rows: DataFrame, length: int, words: int | None) -> DataFrame:
     else:
         joined = joined.drop("t1", "t2")
 
+    def rest(data: np.ndarray) -> bytes | str:
+        return data.tobytes().decode("utf-8", "ignore") if readable else data.tobytes()
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         for block in arrays.blocks(batches):
@@ -299,7 +302,7 @@ def _cut(rows: DataFrame, length: int, words: int | None) -> DataFrame:
                 own = block.data[block.bounds[k] : block.bounds[k + 1]]
                 if not ranges[k].is_valid and not (words and runs[k].is_valid):
                     removed.append([])
-                    kept.append(own.tobytes())
+                    kept.append(rest(own))
                     continue
                 first, last = _spans(ranges[k], len(own), length)
                 if words:
@@ -311,12 +314,12 @@ def _cut(rows: DataFrame, length: int, words: int | None) -> DataFrame:
                 gone = np.zeros(len(own) + 1, np.int8)
                 gone[first] = 1
                 gone[last + 1] -= 1
-                kept.append(own[np.cumsum(gone[:-1], dtype=np.int8) == 0].tobytes())
+                kept.append(rest(own[np.cumsum(gone[:-1], dtype=np.int8) == 0]))
             columns = [block.rows.column(block.rows.schema.get_field_index(c)) for c in names]
-            columns += [pa.array(np.diff(block.bounds), pa.int64()), pa.array(removed, pair), pa.array(kept, pa.binary())]
+            columns += [pa.array(np.diff(block.bounds), pa.int64()), pa.array(removed, pair), pa.array(kept, pa.string() if readable else pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*names, *added])
 
-    more = T.StructType.fromDDL("n_bytes long, removed array<struct<first: long, last: long>>, kept binary")
+    more = T.StructType.fromDDL(f"n_bytes long, removed array<struct<first: long, last: long>>, kept {'string' if readable else 'binary'}")
     return joined.mapInArrow(cut, T.StructType([*rows.schema.fields, *more.fields]))
 
 
@@ -325,11 +328,6 @@ def deduplicated(df: DataFrame, text: str = "text", length: int = LENGTH, words:
 
     A text of which nothing is left becomes empty; NULL stays NULL. Columns of ``df`` stay.
     """
-    cut = _cut(packed(df, text), length, words)
-
-    @F.pandas_udf("string")
-    def readable(parts):
-        return parts.map(lambda x: bytes(x).decode("utf-8", "ignore"))
-
-    some = F.when(F.size("removed") > 0, readable("kept")).otherwise(F.col("text"))
+    cut = _cut(packed(df, text), length, words, readable=True)
+    some = F.when(F.size("removed") > 0, F.col("kept")).otherwise(F.col("text"))
     return cut.select(*unpacked(df.columns, text, some))
