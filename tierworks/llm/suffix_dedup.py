@@ -18,7 +18,9 @@ the ``length - width + 1`` bytes from ``p`` on (the *core*) are equal.
 3. The others, and one block of each whole span that shares their core, go down to single positions.
 
 All texts' equal copies are found by digest first. Names are aggregated to their least and greatest position, which
-is combined before the shuffle, so a passage that a third of all texts hold costs one row for each task.
+is combined before the shuffle, so a passage that a third of all texts hold costs one row for each task. What is
+known of each name is stored before rows are joined with it: adaptive execution splits a large name's rows in a
+join, but not where the join's other side is an aggregate over the name in the same job.
 """
 
 from __future__ import annotations
@@ -195,12 +197,12 @@ def repeated_starts(texts: DataFrame, length: int, words: bool = False) -> DataF
     """
     wide_width, narrow_width, _ = widths(length)
     wide = _names(texts, wide_width, length, False, words)
-    again = _again(wide.select("core", place_id().alias("id")), "core")
+    again = stored(_again(wide.select("core", place_id().alias("id")), "core"), "cores")
     left = stored(_collected(wide.select("t1", "t2", "first", "last", "core").join(again, "core", "left_semi")), "ranges")
     held = stored(_joined(texts, left, "inner").dropDuplicates(["t1", "t2"]), "texts")
 
     narrow = stored(_names(held, narrow_width, length, True, words), "blocks")
-    spans = narrow.select("span", place_id().alias("id")).groupBy("span").agg(F.min("id").alias("s0"), F.max("id").alias("s1"))
+    spans = stored(narrow.select("span", place_id().alias("id")).groupBy("span").agg(F.min("id").alias("s0"), F.max("id").alias("s1")), "spans")
     marked = stored(
         narrow.join(spans, "span").select(
             "t1", "t2", "first", "last", "core", (F.col("s0") != F.col("s1")).alias("decided"), (place_id() == F.col("s0")).alias("one")
@@ -208,14 +210,15 @@ def repeated_starts(texts: DataFrame, length: int, words: bool = False) -> DataF
         "marked",
     )
     ones = marked.filter("one")
-    open_cores = (
+    open_cores = stored(
         ones.groupBy("core")
         .agg(F.min(place_id()).alias("c0"), F.max(place_id()).alias("c1"), F.bool_or(~F.col("decided")).alias("open"))
-        .filter("c0 <> c1 AND open")
+        .filter("c0 <> c1 AND open"),
+        "open-cores",
     )
     open_blocks = stored(_collected(ones.join(open_cores, "core", "left_semi")), "open")
     strings = stored(_strings(held.drop("ranges"), open_blocks, length, words), "strings")
-    equal = _again(strings.select("name", place_id().alias("id")), "name")
+    equal = stored(_again(strings.select("name", place_id().alias("id")), "name"), "names")
     single = strings.join(equal, "name", "left_semi").select("t1", "t2", "first", F.col("first").alias("last"))
     return _collected(marked.filter("decided").select("t1", "t2", "first", "last").unionAll(single))
 
