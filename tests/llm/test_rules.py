@@ -61,3 +61,14 @@ def test_without_documents_or_labels(spark, docs, empty, labelled):
     labels = spark.createDataFrame([(1, 0), (2, 1)] if labelled else [], "doc_id long, quality int")
     assert rules.judge(empty, labels).count() == 0
     assert rules.judge(docs, labels).filter("rejected_by <> 0").count() == 0
+
+
+def test_fit_is_bounded_whatever_repeats(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rules, "learn_rules", lambda table, bad: seen.append((table, bad)) or [])
+    documents = spark.range(300).selectExpr("id % 3 AS doc_id", "repeat('word ', cast(id AS int)) AS text")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 0)], "doc_id long, quality int")
+    for bound, rows in ((10, 10), (2, 2), (1000, 300)):
+        rules.fit(documents, labels, bound)
+        table, bad = seen.pop()
+        assert len(bad) == rows and all(len(v) == rows for v in table.values())

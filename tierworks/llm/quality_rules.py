@@ -214,21 +214,27 @@ def learn_rules(table: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Learn from ``labels`` (``doc_id, quality``: 0 is bad; NULLs are left out). No labels: no rules."""
+    """Learn from ``labels`` (``doc_id, quality``: 0 is bad; NULLs are left out). No labels: no rules.
+
+    At most ``sample_rows`` documents are learned from, the first by hashed id; ids that repeat count row by row.
+    """
     labelled = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     chosen = (
         labelled.groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample_rows)  # the documented bound of the fit
+        .limit(sample_rows)
     )
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     wanted = features()
+    order = ["h", "doc_id", *(f"f_{k}" for k in wanted)]
     rows = (
         with_statistics(texts)
         .select(F.xxhash64("doc_id").alias("h"), "doc_id", "quality", *(c.alias(f"f_{k}") for k, c in wanted.items()))
+        .orderBy(*order)
+        .limit(sample_rows)  # the documented bound of the fit, which repeated ids would pass otherwise
         .toPandas()
-        .sort_values(["h", "doc_id"], kind="stable")
+        .sort_values(order, kind="stable")
     )
     table = {k: rows[f"f_{k}"].to_numpy(float) for k in wanted}
     return learn_rules(table, rows["quality"].to_numpy() == 0)
