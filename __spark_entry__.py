@@ -21,7 +21,7 @@ from tierworks.operators.conform import conform, stringify
 from tierworks.operators.contract import CONTRACT, contract_check, contract_projection, with_contract
 from tierworks.operators.dimension import StoredDimension
 from tierworks.operators.landing import full_refresh, land_batch, land_bronze, publish, read_version, versions
-from tierworks.operators.maintenance import compact, repartition_table, retain
+from tierworks.operators.maintenance import compact, compact_small_files, repartition_table, retain
 from tierworks.operators.scd2 import (
     first_versions,
     join_as_of,
@@ -45,6 +45,7 @@ from tierworks.operators.windows import (
 )
 from tierworks.plans.workspace import scratch_path, settle
 from tierworks.sources.catalog import ensure_namespace, list_tables, read_table, resolve
+from tierworks.sources.runs import read_runs, run_files
 from tierworks.sources.schemas import read_json_kept
 from tierworks.streaming.events import parse_events, stream_append, stream_by_batch, stream_dedupe, stream_first_copies, stream_source
 
@@ -556,6 +557,17 @@ def compacted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact(spark, many, few)
 
 
+def compacted_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small files beside two larger ones, in folders by priority: only the small ones are written anew."""
+    path = scratch_path(spark, "appended")
+    orders = table(spark, sf_dir, "orders")
+    rare = F.col("o_orderstatus") == "P"
+    orders.filter(~rare).repartition(2).write.partitionBy("o_orderpriority").parquet(path)
+    orders.filter(rare).repartition(8).write.mode("append").partitionBy("o_orderpriority").parquet(path)
+    compact_small_files(spark, path, small_bytes=16 * 1024, target_bytes=1024 * 1024)
+    return spark.read.parquet(path).select(*orders.columns)
+
+
 def repartitioned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = scratch_path(spark, "by-status"), scratch_path(spark, "by-priority")
     table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(before)
@@ -634,6 +646,39 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.withColumns({c: F.round(c, 5) for c in doubles})
 
 
+def _stored_runs(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of run records, one a file: the orders of a priority and year are a run, those of 1995 with totals of another type."""
+    out = scratch_path(spark, "runs")
+    run = table(spark, sf_dir, "orders").groupBy("o_orderpriority", F.year("o_orderdate").alias("year")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("o_totalprice").alias("ms")
+    )
+    named = run.select(
+        F.col("o_orderpriority").alias("impl"),
+        F.concat_ws("-", "o_orderpriority", "year").alias("run_id"),
+        F.struct("rows", F.col("ms").alias("wall_ms_excl_startup"), (F.col("ms") + 1).alias("wall_ms_incl_startup")).alias("totals"),
+        "year",
+    )
+    one_each = {"maxRecordsPerFile": 1}
+    named.filter("year <> 1995").drop("year").write.options(**one_each).json(out)
+    torn = named.filter("year = 1995").withColumn("totals", F.lit("lost"))
+    torn.drop("year").write.mode("append").options(**one_each).json(out)
+    return out
+
+
+def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of run records read from files; the unreadable ones do not count."""
+    runs = read_runs(spark, _stored_runs(spark, sf_dir)).withColumn("file_name", F.col("run_id"))
+    return benchmark_summary(runs).select("impl", "wall_ms", "work_ms", "rows", "kept_runs", "total_runs")
+
+
+def run_file_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a folder of run records by what is wrong with them."""
+    found = run_files(spark, _stored_runs(spark, sf_dir))
+    return found.groupBy(F.coalesce("reason", F.lit("readable")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("records").alias("records")
+    )
+
+
 # --- driver contract -----------------------------------------------------------------------------
 
 
@@ -715,12 +760,15 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retention_archived": lambda s, d: _retention(s, d)[1],
         "compacted_rows": compacted_rows,
         "compacted_with_added_column": compacted_with_added_column,
+        "compacted_small_files": compacted_small_files,
         "repartitioned_rows": repartitioned_rows,
         "file_inventory": stored_records,
         "batch_history": history_of_batches,
         "orphan_files": orphans,
         "orphan_rows": orphan_rows,
         "benchmark_summary": run_summary,
+        "run_records": run_records,
+        "run_file_reasons": run_file_reasons,
         "medians_hot_groups": run_medians_hot_groups,
     }
 
@@ -838,6 +886,10 @@ history AS (
   FROM marked WHERE nth = 1 OR status IS DISTINCT FROM before
 )"""
 
+_RUNS = """
+SELECT * FROM (SELECT o_orderpriority AS impl, o_orderpriority || '-' || year(o_orderdate) AS run_id, year(o_orderdate) AS year,
+       count(*) AS rows, max(o_totalprice) AS ms FROM orders GROUP BY 1, 2, 3)"""
+
 _INVENTORY = " UNION ALL ".join(
     f"SELECT '{name}.parquet' AS file, count(*) AS records, true AS has_bytes, true AS is_small FROM {name}"
     for name in ("customer", "events", "lineitem", "orders", "supplier")
@@ -1007,12 +1059,24 @@ FROM events""",
         "compacted_rows": _ORDERS,
         "compacted_with_added_column": """
 SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+        "compacted_small_files": _ORDERS,
         "repartitioned_rows": _ORDERS,
         "file_inventory": _INVENTORY,
         "batch_history": """
 SELECT strftime(o_orderdate, 'y%Y') AS _batch_id, count(*) AS rows FROM orders GROUP BY 1""",
         "orphan_files": "SELECT * FROM orders",
         "orphan_rows": "SELECT count(*) AS n FROM orders",
+        "run_records": f"""
+WITH runs AS ({_RUNS} WHERE year <> 1995),
+first AS (SELECT impl, min(run_id) AS run_id, count(*) AS total FROM runs GROUP BY impl)
+SELECT r.impl, median(ms + 1) AS wall_ms, median(ms) AS work_ms, arg_min(rows, r.run_id) AS rows,
+       count(*) AS kept_runs, max(total) AS total_runs
+FROM runs r JOIN first f ON r.impl = f.impl AND (total = 1 OR r.run_id <> f.run_id)
+GROUP BY r.impl""",
+        "run_file_reasons": f"""
+SELECT CASE WHEN year = 1995 THEN 'malformed' ELSE 'readable' END AS reason, count(*) AS files,
+       CAST(sum(CASE WHEN year = 1995 THEN 0 ELSE 1 END) AS BIGINT) AS records
+FROM ({_RUNS}) GROUP BY 1""",
         "benchmark_summary": """
 WITH runs AS (
   SELECT o_orderstatus AS impl, o_orderkey AS nth, o_custkey AS rows, o_totalprice AS work,

@@ -9,7 +9,7 @@ from tierworks.operators.contract import contract_check, contract_projection, wi
 from tierworks.operators.landing import full_refresh, land_batch, land_bronze, publish, read_latest, timed_landing
 from tierworks.sources.catalog import ensure_namespace, list_tables, read_table, resolve
 from tierworks.sources.files import csv_headers, discover_sources, read_csv_source, read_json_source
-from tierworks.sources.runs import read_runs
+from tierworks.sources.runs import read_runs, run_files
 from tierworks.sources.synthetic import SHAPES, synth_source
 
 
@@ -175,3 +175,22 @@ def test_synthetic_rows_are_repeatable(spark):
     assert a.select("id").distinct().count() == 50
     assert {r[0] for r in a.select("segment").distinct().collect()} <= {"smb", "mid", "ent"}
     assert one.filter("customer_id < 0 OR customer_id >= 50").count() == 0
+
+
+def test_run_files_say_why(spark, tmp_path):
+    good = json.dumps({"run_id": "a", "totals": {"wall_ms_excl_startup": 1.0}})
+    write(
+        tmp_path / "runs", good_json=good, two_json=f"[{good}, {good}]", torn_json=good[:-9], words_json="not a record",
+        wrong_json='{"run_id": "b", "totals": "lost"}', bare_json='{"run_id": "c"}', list_json="[]", blank_json="  \n", other_txt=good,
+    )
+    (tmp_path / "runs" / "none.json").write_text("")
+    found = {r.file_name: (r.records, r.reason) for r in run_files(spark, str(tmp_path / "runs")).collect()}
+    assert found == {
+        "good.json": (1, None), "two.json": (2, None), "torn.json": (0, "malformed"), "words.json": (0, "malformed"),
+        "wrong.json": (0, "malformed"), "bare.json": (1, "no totals"), "list.json": (0, "no record"),
+        "blank.json": (0, "no record"), "none.json": (0, "empty"),
+    }
+    # Whether a record counts does not depend on what is asked of it.
+    assert read_runs(spark, str(tmp_path / "runs")).select("notes").count() == 4
+    sizes = {r.file_name: r.file_bytes for r in run_files(spark, str(tmp_path / "runs")).collect()}
+    assert sizes["good.json"] == len(good) and sizes["none.json"] == 0

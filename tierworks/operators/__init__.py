@@ -17,7 +17,7 @@ from tierworks.operators.landing import (
     timed_landing,
     unfinished_versions,
 )
-from tierworks.operators.maintenance import compact, repartition_table, retain
+from tierworks.operators.maintenance import compact, compact_small_files, repartition_table, retain
 from tierworks.operators.scd2 import (
     first_versions,
     join_as_of,

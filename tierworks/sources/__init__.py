@@ -7,7 +7,7 @@ from tierworks.sources.files import (
     read_source,
 )
 from tierworks.sources.listing import parquet_files
-from tierworks.sources.runs import read_runs
+from tierworks.sources.runs import read_runs, run_files
 
 __all__ = [
     "Source",
@@ -18,6 +18,7 @@ __all__ = [
     "read_csv_source",
     "read_json_source",
     "read_runs",
+    "run_files",
     "read_source",
     "read_table",
     "resolve",

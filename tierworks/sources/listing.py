@@ -46,6 +46,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def move_file(spark: SparkSession, path: str, place: str) -> None:
+    """Rename a file; its new folder is made where it is missing."""
+    fs, source = _file_system(spark, path)
+    target = _file_system(spark, place)[1]
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {path} to {place}")
+
+
 def children(spark: SparkSession, path: str) -> list[Entry]:
     """Direct children of a folder in name order."""
     fs, place = _file_system(spark, path)
