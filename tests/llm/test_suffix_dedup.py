@@ -76,3 +76,28 @@ def test_repeated_rows_and_empty_table(spark, empty):
     df = spark.createDataFrame([(1, text, None, None, None)] * 3 + [(2, text[:100], None, None, None)], DOCS)
     assert [len(r.kept) for r in S.without_repeats(df).orderBy("doc_id").collect()] == [0, 0, 0, len(text[:100].encode())]
     assert S.without_repeats(empty).count() == 0
+
+
+def test_all_texts_shuffled(spark, corpus, docs, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_SPANS", 0)
+    monkeypatch.setattr(S, "BROADCAST_TEXTS", 0)
+    assert found(docs, 400) == {r[0]: w for r, w in zip(corpus, brute([r[1] for r in corpus], 400), strict=True)}
+
+
+def test_texts_without_spans_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_SPANS", 0)
+    texts = spark.createDataFrame([(k % 3, k, f"text {k}") for k in range(9)], "t1 long, t2 long, text string")
+    pair = "array<struct<first: long, last: long>>"
+    ranges = spark.createDataFrame([(1, 4, [(0, 5)], None)], f"t1 long, t2 long, a {pair}, b {pair}")
+    joined = S._joined(texts, ranges, "left")
+    assert "LeftAnti, BuildRight" in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.t2, r.text, r.a is not None) for r in joined.collect()) == [(k, f"text {k}", k == 4) for k in range(9)]
+    assert [(r.t2, r.a[0].last, r.b) for r in S._joined(texts, ranges, "inner").collect()] == [(4, 5, None)]
+
+
+def test_a_passage_is_one_range(spark):
+    rng = random.Random(12)
+    passage, own = prose(rng, 200), [prose(rng, 150) for _ in range(4)]
+    texts = [f"{own[0]} {passage} {own[1]}", f"{own[2]} {passage} {own[3]}", passage[:-7]]
+    keyed = spark.createDataFrame([(t,) for t in texts], "text string").select(*S.digests(F.col("text")), "text")
+    assert [len(r.ranges) for r in S._starts(keyed, 400, False).collect()] == [1, 1, 1]

@@ -38,8 +38,10 @@ from tierworks.plans.workspace import scratch_path
 
 LENGTH = 400
 GRAM = 16
-#: Up to so many spans (24 bytes each) are broadcast to the texts; beyond, texts are shuffled.
+#: Up to so many spans (24 bytes each) are broadcast to the texts; beyond, texts that have some are shuffled to them.
 BROADCAST_SPANS = 1_000_000
+#: Up to so many texts with spans are told from the others by broadcast digests (8 bytes each); beyond, all are shuffled.
+BROADCAST_TEXTS = 2_000_000
 #: Positions of a text that are worked on at once.
 PIECE = 1 << 18
 
@@ -181,13 +183,17 @@ def _collected(rows: DataFrame) -> DataFrame:
     return rows.groupBy("t1", "t2").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
 
 
-def _few(ranges: DataFrame) -> bool:
-    total = ranges.agg(F.sum(F.size("ranges") + 2)).first()[0] or 0
-    return total <= BROADCAST_SPANS
-
-
 def _joined(texts: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
-    return texts.join(F.broadcast(ranges) if _few(ranges) else ranges, ["t1", "t2"], how)
+    """``texts`` with the lists of spans that ``ranges`` (``t1, t2``, lists) has for them; texts without any are not shuffled."""
+    spans = sum(F.coalesce(F.size(c), F.lit(0)) for c in ranges.columns if c not in ("t1", "t2"))
+    held, total = ranges.agg(F.count("*"), F.sum(spans + 2)).first()
+    if (total or 0) <= BROADCAST_SPANS:
+        return texts.join(F.broadcast(ranges), ["t1", "t2"], how)
+    if held > BROADCAST_TEXTS:
+        return texts.join(ranges, ["t1", "t2"], how)
+    some = F.broadcast(ranges.select("t1"))
+    with_spans = texts.join(some, "t1", "left_semi").join(ranges, ["t1", "t2"], how)
+    return with_spans if how == "inner" else with_spans.unionByName(texts.join(some, "t1", "left_anti"), allowMissingColumns=True)
 
 
 def repeated_starts(texts: DataFrame, length: int, words: bool = False) -> DataFrame:
@@ -252,7 +258,24 @@ def _starts(texts: DataFrame, length: int, words: bool) -> DataFrame:
         .select("t1", "t2", every.alias("ranges"))
     )
     found = repeated_starts(texts, length, words).unionByName(copies)
-    return stored(found.groupBy("t1", "t2").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "starts")
+    return stored(_merged(found.groupBy("t1", "t2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))), "starts")
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """The same positions in as few ranges as can be: a passage decided position by position is one."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t1, t2, ranges = (batch.column(batch.schema.get_field_index(c)) for c in ("t1", "t2", "ranges"))
+            if not len(ranges):
+                continue
+            made = [_ranges(cell) for cell in ranges]
+            first, last = (np.concatenate(x) for x in zip(*made, strict=True))
+            ends = np.cumsum([0, *(len(x) for x, _ in made)])
+            pairs = pa.StructArray.from_arrays([pa.array(first), pa.array(last)], ["first", "last"])
+            yield pa.RecordBatch.from_arrays([t1, t2, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)], ["t1", "t2", "ranges"])
+
+    return rows.mapInArrow(work, "t1 long, t2 long, ranges array<struct<first: long, last: long>>")
 
 
 def _spans(cell: pa.Scalar, size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -284,12 +307,11 @@ def _cut(rows: DataFrame, length: int, words: int | None, readable: bool = False
     texts = keyed.select("t1", "t2", whole.alias("text"))
     starts = _starts(texts.filter(F.octet_length("text") >= length), length, False)
     names = rows.columns
-    joined = _joined(keyed, starts, "left").select(*names, "t1", "t2", F.col("ranges").alias("__ranges"))
+    starts = starts.withColumnRenamed("ranges", "__ranges")
     if words:
         runs = _starts(texts.filter(F.octet_length("text") >= 2 * words - 1), words, True)
-        joined = _joined(joined, runs, "left").select(*names, "__ranges", F.col("ranges").alias("__runs"))
-    else:
-        joined = joined.drop("t1", "t2")
+        starts = starts.join(runs.withColumnRenamed("ranges", "__runs"), ["t1", "t2"], "full_outer")
+    joined = _joined(keyed, starts, "left").select(*names, *starts.columns[2:])
 
     def rest(data: np.ndarray) -> bytes | str:
         return data.tobytes().decode("utf-8", "ignore") if readable else data.tobytes()
