@@ -1,12 +1,13 @@
 import collections
 import random
+import re
 
 import numpy as np
 import pytest
 from conftest_llm import DOCS, prose, sha
 from pyspark.sql import functions as F
 
-from tierworks.llm import suffix_dedup as S
+from tierworks.llm import queries, suffix_dedup as S
 
 
 def brute(texts, length):
@@ -101,3 +102,49 @@ def test_a_passage_is_one_range(spark):
     texts = [f"{own[0]} {passage} {own[1]}", f"{own[2]} {passage} {own[3]}", passage[:-7]]
     keyed = spark.createDataFrame([(t,) for t in texts], "text string").select(*S.digests(F.col("text")), "text")
     assert [len(r.ranges) for r in S._starts(keyed, 400, False).collect()] == [1, 1, 1]
+
+
+def brute_passages(texts, words):
+    data = [(t or "").encode() for t in texts]
+    found = [[(m[0], m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", d)] for d in data]
+    runs = [[tuple(w[0] for w in f[i : i + words]) for i in range(len(f) - words + 1)] for f in found]
+    seen = collections.Counter(r for own in runs for r in own)
+    out = []
+    for f, own in zip(found, runs, strict=True):
+        spans = []
+        for i, run in enumerate(own):
+            if seen[run] > 1:
+                low, high = f[i][1], f[i + words - 1][2] - 1
+                if spans and low <= spans[-1][1] + 1:
+                    spans[-1][1] = high
+                else:
+                    spans.append([low, high])
+        out.append([tuple(x) for x in spans])
+    return out
+
+
+@pytest.mark.parametrize("few", [S.BROADCAST_SPANS, 0])
+def test_short_passages_are_told_beside_the_strings(spark, corpus, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(S, "BROADCAST_SPANS", few)
+    rng = random.Random(21)
+    short, fifty = prose(rng, 51, ("ab", "c", "é")), prose(rng, 50, ("de", "f", "ü"))
+    own = [prose(rng, 20) for _ in range(6)]
+    texts = [f"{own[0]} {short} {own[1]}", f"{own[2]}\n{short.replace(' ', '\n ')}", f"{fifty} {own[3]}", f"{own[4]} {fifty}", f"{short} {short}", own[5]]
+    texts = [r[1] for r in corpus] + texts
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    want = [(*b, len(p), sum(y - x + 1 for x, y in p)) for b, p in zip(brute(texts, 400), brute_passages(texts, 51), strict=True)]
+    assert [w[1:5:3] for w in want[-6:-4]] == [(0, 1), (0, 1)] and [w[4] for w in want[-4:]] == [0, 0, 2, 0]
+    rows = queries.op10_repeated_strings(spark, str(tmp_path)).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == dict(enumerate(want))
+
+
+def test_passages_are_cut_or_only_told(spark, corpus, docs):
+    told = {r.doc_id: r for r in S.without_repeats(docs.withColumn("passages", F.lit(1)), words=51, cut_words=False).collect()}
+    cut = {r.doc_id: r for r in S.without_repeats(docs, words=51).collect()}
+    plain = {r.doc_id: r for r in S.without_repeats(docs).collect()}
+    for (k, *_), want in zip(corpus, brute_passages([r[1] for r in corpus], 51), strict=True):
+        assert [tuple(x) for x in told[k].passages] == [tuple(x) for x in cut[k].passages] == want
+        assert told[k].removed == plain[k].removed and told[k].kept == plain[k].kept
+        assert len(cut[k].kept) <= len(plain[k].kept)
+    assert S.without_repeats(docs).columns == [*docs.columns, "n_bytes", "removed", "kept"]

@@ -286,22 +286,25 @@ def _spans(cell: pa.Scalar, size: int, length: int) -> tuple[np.ndarray, np.ndar
     return first[own], last[own] + length - 1
 
 
-def without_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
+def without_repeats(
+    df: DataFrame, text: str = "text", length: int = LENGTH, words: int | None = None, cut_words: bool = True
+) -> DataFrame:
     """``df`` with ``n_bytes``, ``removed`` (ascending disjoint byte ranges, ``first`` to ``last``) and ``kept`` (binary: the rest).
 
     Judged on the texts as given, within and across rows; a text that several rows hold is a repeat of itself. All
     occurrences go, the first included. NULL texts are empty; texts shorter than ``length`` lose nothing. With
-    ``words``, runs of so many equal words (whatever white space stands between them) go as well, however short.
+    ``words``, ``passages`` (byte ranges like ``removed``) are runs of so many equal words, however short and whatever
+    white space stands between them; they go as well, or are only told if ``cut_words`` is false.
     Columns of ``df`` with these names are replaced, all others come back as they are, whatever they are called.
     """
-    added = ["n_bytes", "removed", "kept"]
-    cut = _cut(packed(df, text), length, words)
+    added = ["n_bytes", "removed", "kept"] + ["passages"] * bool(words)
+    cut = _cut(packed(df, text), length, words, cut_words)
     return cut.select(*unpacked([c for c in df.columns if c not in added], text), *added)
 
 
-def _cut(rows: DataFrame, length: int, words: int | None, readable: bool = False) -> DataFrame:
-    """``text, carried, n_bytes, removed, kept`` of packed rows; ``readable``: the rest as a string, without cut characters."""
-    added = ["n_bytes", "removed", "kept"]
+def _cut(rows: DataFrame, length: int, words: int | None, cut_words: bool = True, readable: bool = False) -> DataFrame:
+    """``text, carried, n_bytes, removed, kept, passages`` of packed rows; ``readable``: the rest as a string, without cut characters."""
+    added = ["n_bytes", "removed", "kept", "passages"]
     whole = F.coalesce("text", F.lit(""))
     keyed = rows.select("*", *digests(whole))
     texts = keyed.select("t1", "t2", whole.alias("text"))
@@ -316,35 +319,45 @@ def _cut(rows: DataFrame, length: int, words: int | None, readable: bool = False
     def rest(data: np.ndarray) -> bytes | str:
         return data.tobytes().decode("utf-8", "ignore") if readable else data.tobytes()
 
+    def passage_bytes(own: np.ndarray, cell: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+        found = arrays.words(own, np.array([0, len(own)]), arrays.NOT_SPACE)
+        low, high = _spans(cell, len(found.starts), words)
+        return merged(found.starts[low], found.ends[high] - 1)
+
+    def pairs(first: np.ndarray, last: np.ndarray) -> list[dict[str, int]]:
+        return [{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         for block in arrays.blocks(batches):
             ranges = block.rows.column(block.rows.schema.get_field_index("__ranges"))
             runs = block.rows.column(block.rows.schema.get_field_index("__runs")) if words else None
-            found = arrays.words(block.data, block.bounds, arrays.NOT_SPACE) if words else None
-            removed, kept = [], []
+            removed, kept, passages = [], [], []
             for k in range(block.rows.num_rows):
                 own = block.data[block.bounds[k] : block.bounds[k + 1]]
                 if not ranges[k].is_valid and not (words and runs[k].is_valid):
                     removed.append([])
                     kept.append(rest(own))
+                    passages.append([])
                     continue
                 first, last = _spans(ranges[k], len(own), length)
-                if words:
-                    low, high = _spans(runs[k], found.first[k + 1] - found.first[k], words)
-                    first = np.append(first, found.starts[found.first[k] + low] - block.bounds[k])
-                    last = np.append(last, found.ends[found.first[k] + high] - 1 - block.bounds[k])
+                low, high = passage_bytes(own, runs[k]) if words and runs[k].is_valid else (first[:0], last[:0])
+                if cut_words:
+                    first, last = np.append(first, low), np.append(last, high)
                 first, last = merged(first, last)
-                removed.append([{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+                removed.append(pairs(first, last))
+                passages.append(pairs(low, high))
                 gone = np.zeros(len(own) + 1, np.int8)
                 gone[first] = 1
                 gone[last + 1] -= 1
                 kept.append(rest(own[np.cumsum(gone[:-1], dtype=np.int8) == 0]))
             columns = [block.rows.column(block.rows.schema.get_field_index(c)) for c in names]
             columns += [pa.array(np.diff(block.bounds), pa.int64()), pa.array(removed, pair), pa.array(kept, pa.string() if readable else pa.binary())]
+            columns.append(pa.array(passages, pair))
             yield pa.RecordBatch.from_arrays(columns, [*names, *added])
 
-    more = T.StructType.fromDDL(f"n_bytes long, removed array<struct<first: long, last: long>>, kept {'string' if readable else 'binary'}")
+    spans = "array<struct<first: long, last: long>>"
+    more = T.StructType.fromDDL(f"n_bytes long, removed {spans}, kept {'string' if readable else 'binary'}, passages {spans}")
     return joined.mapInArrow(cut, T.StructType([*rows.schema.fields, *more.fields]))
 
 
