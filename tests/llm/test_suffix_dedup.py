@@ -65,6 +65,23 @@ def test_parts_of_long_texts(monkeypatch):
             assert [i for a, b in zip(first, last) for i in range(a, b + 1)] == list(range(len(data) - length + 1))
 
 
+@pytest.mark.parametrize("piece", [100, S.PIECE])
+@pytest.mark.parametrize("length", [20, 51, 64])
+def test_blocks_of_many_texts_at_once(length, piece, monkeypatch):
+    monkeypatch.setattr(S, "PIECE", piece)
+    rng = random.Random(length)
+    sizes = [0, 3, length - 1, length, 0, 400, length + 1, 1, 90, 0]
+    for alphabet in ("abc", "a", "abcdefgh"):
+        texts = [np.frombuffer("".join(rng.choices(alphabet, k=n)).encode(), np.uint8) for n in sizes]
+        data, bounds = np.concatenate(texts), np.cumsum([0, *sizes])
+        for width in S.widths(length)[:2]:
+            text, *found = S.block_blocks(data, bounds, width, length)
+            for k, own in enumerate(texts):
+                for x, y in zip(found, S.text_blocks(own, width, length), strict=True):
+                    assert x[text == k].tolist() == y.tolist()
+    assert [len(x) for x in S.block_blocks(data[:0], np.array([0, 0]), 4, length)] == [0] * 5
+
+
 def test_readable_texts(spark):
     passage = "é" * 250
     rows = [(1, "xé" + passage + " ende", None, None, None), (2, passage, None, None, None), (3, None, None, None, None), (4, "", None, None, None)]

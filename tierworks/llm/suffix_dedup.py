@@ -42,8 +42,8 @@ GRAM = 16
 BROADCAST_SPANS = 1_000_000
 #: Up to so many texts with spans are told from the others by broadcast digests (8 bytes each); beyond, all are shuffled.
 BROADCAST_TEXTS = 2_000_000
-#: Positions of a text that are worked on at once.
-PIECE = 1 << 18
+#: Positions of a text, or of some short ones together, that are worked on at once; what they need fits a core's cache.
+PIECE = 1 << 15
 
 
 def widths(length: int) -> tuple[int, int, int]:
@@ -76,12 +76,17 @@ def symbols(block: arrays.Block, words: bool) -> tuple[np.ndarray, np.ndarray]:
     return arrays.span_hashes(block.data, found.starts, found.ends), found.first
 
 
-def samples(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Positions whose hash is the least of some ``width`` neighbouring ones; ``width`` is a power of two."""
+def samples(hashes: np.ndarray, width: int, whole: np.ndarray | None = None) -> np.ndarray:
+    """Positions whose hash is the least of some ``width`` neighbouring ones; ``width`` is a power of two.
+
+    With ``whole``, only the windows that it marks count (by their first position).
+    """
     least, step = hashes, 1
     while step < width:
         least = np.minimum(least[:-step], least[step:])
         step *= 2
+    if whole is not None:
+        least = np.where(whole, least, U64(0))
     around = np.concatenate([np.zeros(width - 1, U64), least, np.zeros(width - 1, U64)])
     step = 1
     while step < width:
@@ -108,6 +113,46 @@ def text_blocks(data: np.ndarray, width: int, length: int) -> tuple[np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*made, strict=True)) if made else (np.zeros(0, np.int64),) * 2 + (np.zeros(0, U64),) * 2
 
 
+def block_blocks(data: np.ndarray, bounds: np.ndarray, width: int, length: int) -> tuple[np.ndarray, ...]:
+    """``text, first, last, core name, span name``: ``text_blocks`` of all texts of a block."""
+    at, made = 0, []
+    while at < len(bounds) - 1:
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + PIECE, "right")) - 1)
+        own, part = bounds[at : to + 1] - bounds[at], data[bounds[at] : bounds[to]]
+        if len(part) <= PIECE:
+            text, *found = _blocks_at_once(part, own, width, length)
+        else:  # one text
+            found = text_blocks(part, width, length)
+            text = np.zeros(len(found[0]), np.int64)
+        made.append((text + at, *found))
+        at = to
+    return tuple(np.concatenate(x) for x in zip(*made, strict=True))
+
+
+def _blocks_at_once(data: np.ndarray, bounds: np.ndarray, width: int, length: int) -> tuple[np.ndarray, ...]:
+    gram = widths(length)[2]
+    reach = width + gram - 1
+    if len(data) < length:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 2
+    sums = arrays.Sums(data)
+    grams = np.arange(len(data) - gram + 1)
+    long = np.flatnonzero(np.diff(bounds) >= length)
+    edges = np.zeros(len(data) - reach + 2, np.int32)  # windows within one text
+    edges[bounds[long]] += 1
+    edges[bounds[long + 1] - reach + 1] -= 1
+    found = samples(sums.of(grams, grams + gram), width, np.cumsum(edges[:-1]) > 0)
+    text = np.searchsorted(bounds, found, "right") - 1
+    behind = np.append(found[1:], 0)
+    behind[np.append(text[1:] != text[:-1], True)] = len(data) + width
+    first = np.maximum(found - width + 1, bounds[text])
+    last = np.minimum(behind - width, bounds[text + 1] - length)
+    own = first <= last
+    p, first, last, text = found[own], first[own], last[own], text[own]
+    core = sums.of(p, p - width + 1 + length)
+    span = sums.of(first, last + length)
+    return text, first - bounds[text], last - bounds[text], core, span
+
+
 def string_names(data: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the given disjoint ascending ranges, and the name of the string at each."""
     places, names = [], []
@@ -157,17 +202,16 @@ def _names(texts: DataFrame, width: int, length: int, within: bool, words: bool)
             t1, t2 = (block.rows.column(block.rows.schema.get_field_index(c)).to_numpy() for c in ("t1", "t2"))
             ranges = block.rows.column(block.rows.schema.get_field_index("ranges")) if within else None
             data, bounds = symbols(block, words)
-            parts, sizes = [], []
-            for k in range(block.rows.num_rows):
-                first, last, core, span = text_blocks(data[bounds[k] : bounds[k + 1]], width, length)
-                if within and len(first):
+            text, first, last, core, span = block_blocks(data, bounds, width, length)
+            if within:
+                meets, ends = np.zeros(len(first), bool), np.searchsorted(text, np.arange(block.rows.num_rows + 1))
+                for k in np.flatnonzero(np.diff(ends)).tolist():
+                    own = slice(ends[k], ends[k + 1])
                     low, high = _ranges(ranges[k])
-                    at = np.searchsorted(high, first)  # the first range that ends at or behind the block's start
-                    meets = (at < len(low)) & (low[np.minimum(at, len(low) - 1)] <= last)
-                    first, last, core, span = first[meets], last[meets], core[meets], span[meets]
-                parts.append((first, last, core.view(np.int64), span.view(np.int64)))
-                sizes.append(len(first))
-            columns = [np.repeat(t1, sizes), np.repeat(t2, sizes), *(np.concatenate(x) for x in zip(*parts, strict=True))]
+                    at = np.searchsorted(high, first[own])  # the first range that ends at or behind the block's start
+                    meets[own] = (at < len(low)) & (low[np.minimum(at, len(low) - 1)] <= last[own])
+                text, first, last, core, span = text[meets], first[meets], last[meets], core[meets], span[meets]
+            columns = [t1[text], t2[text], first, last, core.view(np.int64), span.view(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["t1", "t2", "first", "last", "core", "span"])
 
     return texts.mapInArrow(work, "t1 long, t2 long, first long, last long, core long, span long")
