@@ -2,9 +2,11 @@ import hashlib
 import random
 
 import corpus_pipeline as P
+import pyarrow as pa
 import pytest
 from conftest_llm import DOCS, prose
 from oracle import connect, differences
+from pyspark.sql import functions as F
 from test_bpe import library  # noqa: F401
 
 from tierworks.llm import queries as Q
@@ -63,3 +65,24 @@ def test_passages_of_over_50_words_go(spark):
     left = {r.doc_id: r.text for r in P.repeated_passages(spark, docs, SF_DIR).collect()}
     want = {k: f"{own[2 * k]}  {own[2 * k + 1]}" for k in range(3)} | {k: texts[k] for k in (3, 4, 9)} | {5: "一", 6: "二"}
     assert left == want
+
+
+@pytest.mark.parametrize("name, stage", P.STAGES)
+def test_a_stage_called_alone_works_in_small_batches(spark, name, stage):
+    stock = spark.newSession()
+    stage(stock, stock.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"size": pa.array([b.nbytes], pa.int64())})
+
+    texts = stock.range(0, 10_000, 1, 1).select(F.repeat(F.lit("word "), 400).alias("text"))
+    found = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) > 10_000 * 2_000 and max(found) < 1.5 * P.BATCH_BYTES
+
+
+def test_a_run_leaves_the_size_of_batches(spark):
+    stock = spark.newSession()
+    stock.conf.set(P.BATCH_SETTING, 5 << 20)
+    P.run(stock, SF_DIR)
+    assert int(stock.conf.get(P.BATCH_SETTING)) == 5 << 20
